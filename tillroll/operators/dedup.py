@@ -8,9 +8,9 @@ side is turned around where its size allows:
   Neither the history nor the batch is shuffled;
 * beyond that: one shuffled aggregation over the hashes of both sides gives one row per
   batch hash. Copies collapse before the shuffle, so a hash that fills a third of either
-  side costs no more than any other. The batch rows then meet that table in a shuffled
-  anti join, except for the few hashes with very many copies, which are decided by a
-  broadcast whose size has a proven bound.
+  side costs no more than any other. The few hashes with very many batch copies are
+  decided by a broadcast whose size has a proven bound, and their rows are spread out;
+  the other batch rows meet the table in a shuffled anti join.
 
 Both give the rows of a plain anti join, copies included.
 """
@@ -86,10 +86,18 @@ def _by_shuffle(batch: DataFrame, known: DataFrame, hot_from: int) -> DataFrame:
     )
     # The copies add up to the batch rows, so at most max_hot_hashes groups get here.
     hot = verdicts.filter(F.col("copies") >= hot_from).select(
-        ROW_HASH, F.col("seen").alias("hot_seen")
+        ROW_HASH, F.col("seen").alias("_hot_seen")
+    )
+    marked = batch.join(F.broadcast(hot), ROW_HASH, "left").filter(
+        F.col("_hot_seen").isNull() | ~F.col("_hot_seen")
+    )
+    # Rows of a hot new hash get a key that matches nothing and differs from one input
+    # partition to the next. The partition number, unlike a row number or a random one,
+    # stays the same when a lost task runs again.
+    apart = F.concat(F.lit("hot "), F.spark_partition_id().cast("string"))
+    key = F.when(F.col("_hot_seen").isNull(), F.col(ROW_HASH)).otherwise(apart)
+    keyed = marked.withColumn("_key", key)
+    seen = verdicts.filter((F.col("copies") < hot_from) & F.col("seen"))
+    return keyed.join(seen.select(F.col(ROW_HASH).alias("_key")), "_key", "left_anti").drop(
+        "_key", "_hot_seen"
     )
-    marked = batch.join(F.broadcast(hot), ROW_HASH, "left")
-    hot_new = marked.filter(~F.col("hot_seen")).drop("hot_seen")
-    cold = marked.filter(F.col("hot_seen").isNull()).drop("hot_seen")
-    cold_seen = verdicts.filter((F.col("copies") < hot_from) & F.col("seen")).select(ROW_HASH)
-    return hot_new.unionByName(cold.join(cold_seen, ROW_HASH, "left_anti"))

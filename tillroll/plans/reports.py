@@ -12,11 +12,12 @@ POTENTIAL_ABOVE_AMOUNT = 200
 def _highest_first(rows: DataFrame, column: str) -> DataFrame:
     """Sort downwards by one column, unknown values last.
 
-    Equal values sort by a row number of their input partition. Without it all rows
-    that share a value would be sorted by one task, however many they are.
+    Equal values sort by the number of their input partition. Without it all rows that
+    share a value would be sorted by one task, however many they are. The number stays
+    the same when a lost task runs again, so no row changes its place between attempts.
     """
     return (
-        rows.withColumn("_spread", F.monotonically_increasing_id())
+        rows.withColumn("_spread", F.spark_partition_id())
         .orderBy(F.desc(column), "_spread")
         .drop("_spread")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.orders import age_bucket
-from tillroll.operators.ranking import items_by_rank, rank_items
+from tillroll.operators.ranking import attach_to_groups, items_by_rank, rank_items
 
 TOP_CATEGORIES = 3
 
@@ -68,17 +68,13 @@ def location_preferences(orders: DataFrame) -> DataFrame:
     stats = counts.groupBy("location").agg(
         F.sum("n").alias("orders"), _average("spend", "spend_n").alias("avg_spend")
     )
-    ranked = rank_items(counts, "location", "category", "n", TOP_CATEGORIES)
+    ranked = rank_items(
+        counts, "location", "category", "n", TOP_CATEGORIES, carry=("spend", "spend_n")
+    )
     top = items_by_rank(ranked, "location", "category", "top_categories")
-    # Null-safe, so that no "is not null" filter makes the two uses of the counts
-    # differ: Spark then computes their shuffle once. The null key is blanked after.
-    same = stats["location"].eqNullSafe(top["location"])
-    listed = F.when(stats["location"].isNotNull(), F.col("top_categories"))
-    return stats.join(top, same, "left").select(
-        stats["location"],
-        "orders",
-        "avg_spend",
-        F.coalesce(listed, F.array().cast("array<string>")).alias("top_categories"),
+    listed = F.coalesce("top_categories", F.array().cast("array<string>"))
+    return attach_to_groups(stats, top, "location", "top_categories").withColumn(
+        "top_categories", listed
     )
 
 

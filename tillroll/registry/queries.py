@@ -20,7 +20,7 @@ from tillroll.operators.dedup import (
     with_row_hash,
 )
 from tillroll.operators.enrich import enrich_orders
-from tillroll.operators.ranking import attach_top_item, top_items
+from tillroll.operators.ranking import attach_to_groups, rank_items, top_items
 from tillroll.plans import reports, views
 from tillroll.registry.adapter import row_bound, shop_orders
 from tillroll.schema import ALIGNED_COLUMNS, BUSINESS_COLUMNS, PROCESSED_TIME, RAW_COLUMNS
@@ -188,9 +188,11 @@ def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gender_top_join(orders: DataFrame) -> DataFrame:
-    stats = orders.groupBy("gender").agg(F.count(F.lit(1)).alias("orders"))
-    top = top_items(orders, "gender", "category", 1)
-    return attach_top_item(stats, top, "gender", "category", "top_category")
+    counts = orders.groupBy("gender", "category").agg(F.count(F.lit(1)).alias("n"))
+    stats = counts.groupBy("gender").agg(F.sum("n").alias("orders"))
+    top = rank_items(counts, "gender", "category", "n", 1)
+    named = top.select("gender", F.col("category").alias("top_category"))
+    return attach_to_groups(stats, named, "gender", "top_category")
 
 
 def location_view(spark: SparkSession, sf_dir: str) -> DataFrame:
