@@ -48,8 +48,12 @@ def hashes_of(table: DataFrame) -> DataFrame:
 
 
 def drop_copies(df: DataFrame) -> DataFrame:
-    """One row per hash. Copies are combined before the shuffle."""
-    return df.dropDuplicates([ROW_HASH])
+    """One row of every group of equal rows, ingest time included.
+
+    Over all columns, so that Spark combines copies in a hash table before the shuffle;
+    picking one row per hash would have to sort all rows by it, twice.
+    """
+    return df.distinct()
 
 
 def drop_known_rows(

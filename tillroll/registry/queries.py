@@ -147,8 +147,8 @@ def _against_table(spark: SparkSession, sf_dir: str, broadcast_limit: int) -> Da
 
 
 def dedup_within_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The time is left out: it differs between copies of a row.
-    return drop_copies(with_row_hash(shop_orders(spark, sf_dir))).select(*BUSINESS_COLUMNS)
+    # The time is left out: here, unlike in a batch, it differs between copies.
+    return drop_copies(shop_orders(spark, sf_dir).drop(PROCESSED_TIME))
 
 
 # --- streaming -------------------------------------------------------------------

@@ -4,7 +4,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -75,8 +75,12 @@ class OrdersTable:
         }
         return stored.withColumns(missing).select(*TABLE_SCHEMA.names)
 
-    def append(self, rows: DataFrame) -> None:
-        """Append rows, aligned or enriched; files go to one folder per ingest day."""
+    def append(self, rows: DataFrame) -> int:
+        """Append rows, aligned or enriched, and return how many there were.
+
+        Files go to one folder per ingest day; an append of no rows writes no file. The
+        rows are counted while they are written, so they are computed once.
+        """
         if self.store_hash and ROW_HASH not in rows.columns:
             rows = rows.withColumn(ROW_HASH, row_hash())
         elif not self.store_hash:
@@ -85,11 +89,14 @@ class OrdersTable:
             rows = rows.withColumn(PROCESSED_DATE, F.to_date(PROCESSED_TIME))
         if self.cluster:
             rows = self._clustered(rows)
+        written = Observation()
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         writer = rows.write.format(self.format).mode("append")
         if self.is_files:
             writer.options(**self.options).partitionBy(PROCESSED_DATE).save(self.location)
         else:
             writer.options(**self._connector()).save()
+        return written.get["rows"]
 
     def _clustered(self, rows: DataFrame) -> DataFrame:
         # A rebalance, unlike a plain repartition, splits a category that is too large

@@ -84,19 +84,13 @@ class Ingest:
         return metrics
 
     def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int:
-        rows = drop_copies(hashed) if self.drop_batch_copies else hashed
+        rows = hashed
         stored = self.table.snapshot(spark, self.lookback_days)
         if stored is not None:
             rows = drop_known_rows(rows, hashes_of(stored), received, self.broadcast_limit)
-        # Kept for the write, so that counting does not read the history a second time.
-        rows = rows.persist()
-        try:
-            new_rows = rows.count()
-            if new_rows:
-                self.table.append(rows)
-        finally:
-            rows.unpersist()
-        return new_rows
+        if self.drop_batch_copies:
+            rows = drop_copies(rows)
+        return self.table.append(rows)
 
     def _record(self, spark: SparkSession, metrics: BatchMetrics) -> None:
         row = spark.range(1).select(
