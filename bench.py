@@ -2,7 +2,7 @@
 
 Prints one JSON line. Every query runs to its last row into a sink that drops them, so
 neither the driver nor the disk is measured; the ingest queries include the writing of
-their inbox and table. A first pass over a small scale warms up the JVM.
+their inbox and table. A first pass over a smaller scale warms up the JVM.
 """
 
 import json
@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tillroll.registry.queries import QUERIES  # noqa: E402
 
-WARM_UP_DIR = "/root/testdata/sf0.001"
+WARM_UP_DIR = "/root/testdata/sf0.01"
 HEADLINE = (
     "v_age_preferences",
     "v_gender_preferences",

@@ -65,6 +65,18 @@ def test_large_batch_reads_the_history_once(skewed, spark, tmp_path):
     assert plan.count("FileScan parquet") == 3
 
 
+def test_large_batch_spreads_a_hot_new_hash(spark):
+    hot = with_row_hash(orders(spark, *[{"customer_id": 1}] * 160).repartition(8))
+    known = hashes_of(orders(spark, {"customer_id": 2}))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = drop_known_rows(hot, known, 160, broadcast_limit=0, max_hot_hashes=4)
+        sizes = fresh.rdd.glom().map(len).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 160 and max(sizes) <= 80
+
+
 def test_drop_copies(skewed, spark):
     batch, _ = skewed
     assert drop_copies(batch).count() == batch.select("row_hash").distinct().count()

@@ -1,7 +1,7 @@
 import pytest
 from helpers import bag, orders
 
-from tillroll.schema import BUSINESS_COLUMNS, RAW_COLUMNS
+from tillroll.schema import BUSINESS_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
 from tillroll.sources.orders_csv import split_to_csv
 from tillroll.sources.orders_table import OrdersTable
 from tillroll.streaming.ingest import (
@@ -11,6 +11,7 @@ from tillroll.streaming.ingest import (
     read_metrics,
     start_ingest,
 )
+from tillroll.streaming.job import main
 from tillroll.streaming.settings import SETTINGS, job_settings, setting
 
 
@@ -147,18 +148,12 @@ def test_empty_and_missing_inbox(pipeline):
 
 
 def test_empty_batch_is_skipped(pipeline, spark):
-    nothing = prepare_orders(spark.createDataFrame([], pipeline_schema()))
+    nothing = prepare_orders(spark.createDataFrame([], RAW_SCHEMA))
     assert pipeline.ingest.handle(nothing, 3) == BatchMetrics(3, 0, 0)
     assert pipeline.ingest.table.snapshot(spark) is None
     assert pipeline.totals() == [(0, 0, 0)]
 
 
-def pipeline_schema():
-    from tillroll.schema import RAW_SCHEMA
-
-    return RAW_SCHEMA
-
-
 def test_subfolders_of_the_inbox_are_left_out(pipeline):
     pipeline.deliver("first", *ids(1, 2))
     deeper = pipeline.base / "inbox" / "deeper"
@@ -177,6 +172,14 @@ def test_stored_rows_equal_the_delivered_ones(pipeline, spark):
     assert bag(pipeline.rows().select(*BUSINESS_COLUMNS)) == bag(delivered)
 
 
+def test_job_runs_from_its_arguments(pipeline):
+    pipeline.deliver("first", *ids(1, 2, 2))
+    table = pipeline.ingest.table.location
+    main(["project", pipeline.inbox, table, pipeline.checkpoint, "--drain", "--store-hash"])
+    assert sorted(r.customer_id for r in pipeline.rows().collect()) == [1, 2, 2]
+    assert (pipeline.base / "checkpoint" / "streaming" / "commits").is_dir()
+
+
 def test_settings_fall_back_in_order(spark, monkeypatch):
     for name in SETTINGS:
         monkeypatch.delenv(name, raising=False)

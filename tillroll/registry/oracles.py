@@ -83,7 +83,7 @@ FROM (
 def _top(key: str, k: int) -> str:
     return _orders(f"""SELECT * FROM (
   SELECT {key}, category, item_count,
-    row_number() OVER (PARTITION BY {key} ORDER BY item_count DESC, category) AS rank
+    CAST(row_number() OVER (PARTITION BY {key} ORDER BY item_count DESC, category) AS INT) AS rank
   FROM (SELECT {key}, category, count(*) AS item_count FROM shop_orders GROUP BY 1, 2)
 ) WHERE rank <= {k}""")
 
@@ -209,7 +209,7 @@ FROM (
     "dedup_by_shuffle": _NEW_ROWS,
     "dedup_within_batch": _orders(f"SELECT DISTINCT {_BUSINESS} FROM shop_orders"),
     "stream_ingest": _enriched(f"SELECT DISTINCT {_BUSINESS}, {_COMPUTED} FROM enriched"),
-    "ingest_metrics": _orders(f"""SELECT sum(n) AS received, count(*) AS new_rows,
-  sum(n) - count(*) AS duplicates
+    "ingest_metrics": _orders(f"""SELECT CAST(sum(n) AS BIGINT) AS received, count(*) AS new_rows,
+  CAST(sum(n) - count(*) AS BIGINT) AS duplicates
 FROM (SELECT {_HASH} AS h, count(*) AS n FROM shop_orders GROUP BY 1)"""),
 }

@@ -68,9 +68,6 @@ class Ingest:
     def handle(self, batch: DataFrame, batch_id: int) -> BatchMetrics:
         """Append the rows of an enriched batch that the table does not have yet."""
         spark = batch.sparkSession
-        # Streaming sessions switch adaptive execution off for the sake of stateful
-        # operators. There is none here, and the joins below profit from it.
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
         hashed = with_row_hash(batch).persist()
         try:
             received = hashed.count()

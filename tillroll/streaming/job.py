@@ -15,14 +15,15 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="parquet", help="format of the target table")
     parser.add_argument("--store-hash", action="store_true", help="keep the row hash as a column")
     parser.add_argument("--metrics", help="folder for one metrics row per batch")
+    parser.add_argument("--drain", action="store_true", help="stop when the inbox is used up")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("orders-ingest").getOrCreate()
     _project, inbox, location, checkpoint = job_settings(spark, args.settings).values()
     options = {} if args.format in FILE_FORMATS else staged_connector_options(checkpoint)
     table = OrdersTable(location, args.format, options, store_hash=args.store_hash)
-    query = start_ingest(spark, inbox, checkpoint, Ingest(table, metrics_path=args.metrics))
-    query.awaitTermination()
+    ingest = Ingest(table, metrics_path=args.metrics)
+    start_ingest(spark, inbox, checkpoint, ingest, drain=args.drain).awaitTermination()
 
 
 if __name__ == "__main__":
