@@ -110,6 +110,10 @@ _COLUMN_SQL = {
     "loyalty_score": "subscription_status, previous_purchases, loyalty_score",
 }
 
+_EXACT_AVERAGE = (
+    "CAST(sum(CAST(estimated_clv AS DECIMAL(18, 6))) AS DOUBLE) / count(estimated_clv)"
+)
+
 _EVOLUTION_GROUP = """location, category, amount_category, customer_segment,
   count(*) AS orders, sum(purchase_amount_usd) AS spend, count(estimated_clv) AS known_clv"""
 
@@ -141,16 +145,16 @@ FROM enriched GROUP BY 1, 2 ORDER BY customer_segment, avg_rating DESC"""),
     "high_clv": _enriched("""SELECT customer_id, customer_segment, estimated_clv,
   final_amount_usd
 FROM enriched WHERE estimated_clv > 500 ORDER BY estimated_clv DESC"""),
-    "clv_by_segment": _enriched("""SELECT customer_segment,
-  round(avg(estimated_clv), 6) AS avg_clv, max(estimated_clv) AS max_clv,
+    "clv_by_segment": _enriched(f"""SELECT customer_segment,
+  {_EXACT_AVERAGE} AS avg_clv, max(estimated_clv) AS max_clv,
   min(estimated_clv) AS min_clv, count(*) AS count
 FROM enriched GROUP BY customer_segment ORDER BY avg_clv DESC"""),
     "high_potential": _enriched("""SELECT customer_id, previous_purchases, final_amount_usd,
   estimated_clv
 FROM enriched WHERE previous_purchases < 3 AND final_amount_usd > 200
 ORDER BY estimated_clv DESC"""),
-    "clv_trend": _enriched("""SELECT CAST(processed_time AS DATE) AS day, customer_segment,
-  round(avg(estimated_clv), 8) AS avg_clv, count(*) AS orders
+    "clv_trend": _enriched(f"""SELECT CAST(processed_time AS DATE) AS day, customer_segment,
+  {_EXACT_AVERAGE} AS avg_clv, count(*) AS orders
 FROM enriched GROUP BY 1, 2"""),
     "enrich_orders": _enriched(
         f"SELECT {_BUSINESS}, processed_time, {_COMPUTED} FROM enriched"

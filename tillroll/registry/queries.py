@@ -71,11 +71,6 @@ def _over_enriched(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(enriched(spark, sf_dir))
 
 
-def _rounded(plan: Callable[[DataFrame], DataFrame], column: str, digits: int) -> Query:
-    """Averages of amounts that are inexact in binary, rounded to compare engines."""
-    return _over_enriched(lambda df: plan(df).withColumn(column, F.round(column, digits)))
-
-
 def _computed(name: str) -> Query:
     return _over_enriched(lambda df: df.select(*COLUMN_INPUTS[name], name))
 
@@ -209,9 +204,11 @@ QUERIES: dict[str, Query] = {
     "anomalies": _over_enriched(reports.anomalies),
     "satisfaction_by_segment": _over_enriched(reports.satisfaction_by_segment),
     "high_clv": _over_enriched(reports.high_clv),
-    "clv_by_segment": _rounded(reports.clv_by_segment, "avg_clv", 6),
+    "clv_by_segment": _over_enriched(
+        partial(reports.clv_by_segment, average=reports.exact_average)
+    ),
     "high_potential": _over_enriched(reports.high_potential),
-    "clv_trend": _rounded(reports.clv_trend, "avg_clv", 8),
+    "clv_trend": _over_enriched(partial(reports.clv_trend, average=reports.exact_average)),
     "enrich_orders": enriched,
     **{f"enrich_{name}": _computed(name) for name in COLUMN_INPUTS},
     "clv_extended": _over_enriched(

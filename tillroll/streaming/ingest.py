@@ -125,7 +125,7 @@ def start_ingest(
     rows = stream_orders_csv(spark, inbox, files_per_trigger, bytes_per_trigger)
     return (
         prepare_orders(rows)
-        .writeStream.foreachBatch(lambda batch, batch_id: ingest.handle(batch, batch_id) and None)
+        .writeStream.foreachBatch(ingest.handle)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/streaming")
         .trigger(**trigger)
         .start()
