@@ -61,7 +61,7 @@ def test_large_batch_reads_the_history_once(skewed, spark, tmp_path):
     fresh = drop_known_rows(received, history, 300, broadcast_limit=0, max_hot_hashes=4)
     plan = final_plan(fresh)
     assert "ReusedExchange" in plan
-    # Twice the batch, for its hashes and its rows, and once the history.
+    # The batch twice, for its hashes and its rows, and the history once.
     assert plan.count("FileScan parquet") == 3
 
 

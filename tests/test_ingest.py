@@ -172,10 +172,11 @@ def test_stored_rows_equal_the_delivered_ones(pipeline, spark):
     assert bag(pipeline.rows().select(*BUSINESS_COLUMNS)) == bag(delivered)
 
 
-def test_job_runs_from_its_arguments(pipeline):
+@pytest.mark.parametrize("flags", [[], ["--store-hash", "--bytes-per-trigger", "1000000"]])
+def test_job_runs_from_its_arguments(pipeline, flags):
     pipeline.deliver("first", *ids(1, 2, 2))
     table = pipeline.ingest.table.location
-    main(["project", pipeline.inbox, table, pipeline.checkpoint, "--drain", "--store-hash"])
+    main(["project", pipeline.inbox, table, pipeline.checkpoint, "--drain", *flags])
     assert sorted(r.customer_id for r in pipeline.rows().collect()) == [1, 2, 2]
     assert (pipeline.base / "checkpoint" / "streaming" / "commits").is_dir()
 

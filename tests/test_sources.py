@@ -32,10 +32,10 @@ def test_csv_binds_by_position_and_nulls_bad_cells(spark, tmp_path):
 
 
 def test_stream_needs_one_bound(spark, tmp_path):
-    for bounds in ((None, None), (10, "1g")):
+    for bounds in ((None, None), (10, 1000)):
         with pytest.raises(ValueError, match="files_per_trigger"):
             stream_orders_csv(spark, str(tmp_path), *bounds)
-    assert stream_orders_csv(spark, str(tmp_path), None, "1g").isStreaming
+    assert stream_orders_csv(spark, str(tmp_path), None, 1000).isStreaming
 
 
 def test_split_bounds_every_file(spark, tmp_path):

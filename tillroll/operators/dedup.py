@@ -6,11 +6,12 @@ side is turned around where its size allows:
 * up to ``broadcast_limit`` batch rows: the batch hashes are broadcast to one scan of
   the history, the hashes found there (no more than were sent) are broadcast back.
   Neither the history nor the batch is shuffled;
-* beyond that: one shuffled aggregation over the hashes of both sides gives one row per
-  batch hash. Copies collapse before the shuffle, so a hash that fills a third of either
-  side costs no more than any other. The few hashes with very many batch copies are
-  decided by a broadcast whose size has a proven bound, and their rows are spread out;
-  the other batch rows meet the table in a shuffled anti join.
+* beyond that: one shuffled aggregation over the hashes of both sides finds the batch
+  hashes that are stored. Copies collapse before the shuffle, so a hash that fills a
+  third of either side costs no more than any other, and the history is never sorted.
+  The batch rows then meet those hashes in a shuffled anti join. A hash with very many
+  batch copies is hot: its rows are spread over ``SALTS`` parts, and its entry on the
+  other side, one row, is repeated for each.
 
 Both give the rows of a plain anti join, copies included.
 """
@@ -27,6 +28,8 @@ from tillroll.schema import ROW_HASH
 BROADCAST_LIMIT = 1_000_000
 #: Largest number of hot hashes; one is hot from (rows / this) copies on.
 MAX_HOT_HASHES = 1_000
+#: Parts the rows of a hot hash are spread over.
+SALTS = 1_000
 
 
 def with_row_hash(df: DataFrame) -> DataFrame:
@@ -80,28 +83,24 @@ def _by_broadcast(batch: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _by_shuffle(batch: DataFrame, known: DataFrame, hot_from: int) -> DataFrame:
-    received = batch.select(ROW_HASH, F.lit(1).alias("n"), F.lit(False).alias("seen"))
-    stored = known.select(ROW_HASH, F.lit(0).alias("n"), F.lit(True).alias("seen"))
-    verdicts = (
-        received.unionAll(stored)
-        .groupBy(ROW_HASH)
-        .agg(F.sum("n").alias("copies"), F.max("seen").alias("seen"))
-        .filter(F.col("copies") > 0)
+    received = batch.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("copies"))
+    # The copies add up to the batch rows, so at most max_hot_hashes hashes get here.
+    hot = received.filter(F.col("copies") >= hot_from).select(ROW_HASH, F.lit(True).alias("_hot"))
+    # The partition number, unlike a row number or a random one, stays the same when a
+    # lost task runs again.
+    part = F.when(F.col("_hot"), F.spark_partition_id() % SALTS).otherwise(0)
+    salted = batch.join(F.broadcast(hot), ROW_HASH, "left").withColumn("_salt", part)
+
+    both = received.withColumn("seen", F.lit(False)).unionAll(
+        known.select(ROW_HASH, F.lit(0).cast("bigint"), F.lit(True))
     )
-    # The copies add up to the batch rows, so at most max_hot_hashes groups get here.
-    hot = verdicts.filter(F.col("copies") >= hot_from).select(
-        ROW_HASH, F.col("seen").alias("_hot_seen")
+    stored = (
+        both.groupBy(ROW_HASH)
+        .agg(F.sum("copies").alias("copies"), F.max("seen").alias("seen"))
+        .filter(F.col("seen") & (F.col("copies") > 0))
     )
-    marked = batch.join(F.broadcast(hot), ROW_HASH, "left").filter(
-        F.col("_hot_seen").isNull() | ~F.col("_hot_seen")
-    )
-    # Rows of a hot new hash get a key that matches nothing and differs from one input
-    # partition to the next. The partition number, unlike a row number or a random one,
-    # stays the same when a lost task runs again.
-    apart = F.concat(F.lit("hot "), F.spark_partition_id().cast("string"))
-    key = F.when(F.col("_hot_seen").isNull(), F.col(ROW_HASH)).otherwise(apart)
-    keyed = marked.withColumn("_key", key)
-    seen = verdicts.filter((F.col("copies") < hot_from) & F.col("seen"))
-    return keyed.join(seen.select(F.col(ROW_HASH).alias("_key")), "_key", "left_anti").drop(
-        "_key", "_hot_seen"
+    parts = F.when(F.col("copies") >= hot_from, F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    repeated = stored.select(
+        ROW_HASH, F.explode(F.coalesce(parts, F.array(F.lit(0)))).alias("_salt")
     )
+    return salted.join(repeated, [ROW_HASH, "_salt"], "left_anti").drop("_salt", "_hot")

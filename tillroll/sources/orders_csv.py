@@ -23,7 +23,7 @@ def stream_orders_csv(
     spark: SparkSession,
     inbox: str,
     files_per_trigger: int | None = FILES_PER_TRIGGER,
-    bytes_per_trigger: str | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """New order files of an inbox, oldest first, subfolders left out.
 
@@ -35,7 +35,7 @@ def stream_orders_csv(
     bound = (
         {"maxFilesPerTrigger": str(files_per_trigger)}
         if bytes_per_trigger is None
-        else {"maxBytesPerTrigger": bytes_per_trigger}
+        else {"maxBytesPerTrigger": str(bytes_per_trigger)}
     )
     return (
         spark.readStream.format("csv")

@@ -114,7 +114,7 @@ def start_ingest(
     checkpoint: str,
     ingest: Ingest,
     files_per_trigger: int | None = FILES_PER_TRIGGER,
-    bytes_per_trigger: str | None = None,
+    bytes_per_trigger: int | None = None,
     drain: bool = False,
 ) -> StreamingQuery:
     """Start the stream; it runs until stopped or, with ``drain``, until the inbox is

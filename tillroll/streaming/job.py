@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from tillroll.sources.orders_csv import FILES_PER_TRIGGER
 from tillroll.sources.orders_table import FILE_FORMATS, OrdersTable, staged_connector_options
 from tillroll.streaming.ingest import Ingest, start_ingest
 from tillroll.streaming.settings import job_settings
@@ -15,6 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", default="parquet", help="format of the target table")
     parser.add_argument("--store-hash", action="store_true", help="keep the row hash as a column")
     parser.add_argument("--metrics", help="folder for one metrics row per batch")
+    parser.add_argument("--bytes-per-trigger", type=int, help="bound batches by size, not files")
     parser.add_argument("--drain", action="store_true", help="stop when the inbox is used up")
     args = parser.parse_args(argv)
 
@@ -23,7 +25,10 @@ def main(argv: list[str] | None = None) -> None:
     options = {} if args.format in FILE_FORMATS else staged_connector_options(checkpoint)
     table = OrdersTable(location, args.format, options, store_hash=args.store_hash)
     ingest = Ingest(table, metrics_path=args.metrics)
-    start_ingest(spark, inbox, checkpoint, ingest, drain=args.drain).awaitTermination()
+    files = None if args.bytes_per_trigger else FILES_PER_TRIGGER
+    start_ingest(
+        spark, inbox, checkpoint, ingest, files, args.bytes_per_trigger, args.drain
+    ).awaitTermination()
 
 
 if __name__ == "__main__":
