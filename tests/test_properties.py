@@ -48,7 +48,8 @@ def test_enrichment_follows_the_rules(spark, changes):
         segments = [(10, "VIP"), (5, "Regular"), (2, "Occasional")]
         segment = [s for floor, s in segments if prior is not None and prior >= floor]
         assert row.customer_segment == (segment or ["New"])[0]
-        assert (row.satisfaction_level == "Very Satisfied") == (rating is not None and rating >= 4.5)
+        delighted = rating is not None and rating >= 4.5
+        assert (row.satisfaction_level == "Very Satisfied") == delighted
         yes = row.subscription_status == "Yes"
         points = prior or 0
         loyal = "High" if yes and points >= 5 else "Medium" if yes or points >= 3 else "Low"

@@ -134,7 +134,9 @@ def test_lookback_prunes_days(spark, tmp_path):
 def test_clustered_files_are_sorted(spark, tmp_path):
     table = OrdersTable(str(tmp_path / "t"), cluster=True)
     table.append(
-        orders(spark, *({"category": c, "location": p} for c in "cab" for p in "zxy")).repartition(4)
+        orders(
+            spark, *({"category": c, "location": p} for c in "cab" for p in "zxy")
+        ).repartition(4)
     )
     for file in (tmp_path / "t").rglob("*.parquet"):
         found = [(r.category, r.location) for r in spark.read.parquet(str(file)).collect()]

@@ -29,8 +29,10 @@ FREQUENCY_LABELS = {
 }
 FREQUENCY_REST = "Unknown"
 HIGH_SEASONS = ("Spring", "Summer")
+SEASON_LABEL, SEASON_REST = "High Season", "Low Season"
 LOYAL_HIGH_FROM = 5
 LOYAL_MEDIUM_FROM = 3
+LOYAL_HIGH, LOYAL_MEDIUM, LOYAL_REST = "High", "Medium", "Low"
 AGE_LIMITS = {"18-24": 25, "25-34": 35, "35-44": 45, "45-54": 55, "55-64": 65}
 AGE_REST = "65+"
 CLV_LIMITS = {"0-50": 50, "50-200": 200, "200-500": 500}
@@ -40,16 +42,13 @@ TIER_FLOORS = {"premium offer": 500, "benefits": 200}
 TIER_REST = "standard"
 EXTENDED_WEEKLY, EXTENDED_FREQUENCY_SHARE = 1.5, 0.2
 EXTENDED_SUBSCRIBED, EXTENDED_SUBSCRIPTION_SHARE = 2.0, 0.1
-
 YES, WEEKLY = "Yes", "Weekly"
 
 
 def final_amount_usd() -> Column:
     """Amount paid, after the discount where one applied."""
     price = F.col("purchase_amount_usd")
-    return F.when(F.col("discount_applied") == YES, price * DISCOUNTED_SHARE).otherwise(
-        price
-    )
+    return F.when(F.col("discount_applied") == YES, price * DISCOUNTED_SHARE).otherwise(price)
 
 
 def amount_category() -> Column:
@@ -82,7 +81,7 @@ def estimated_profit_usd() -> Column:
 
 
 def season_type() -> Column:
-    return F.when(F.col("season").isin(*HIGH_SEASONS), "High Season").otherwise("Low Season")
+    return F.when(F.col("season").isin(*HIGH_SEASONS), SEASON_LABEL).otherwise(SEASON_REST)
 
 
 def loyalty_score() -> Column:
@@ -91,23 +90,21 @@ def loyalty_score() -> Column:
     purchases = F.col("previous_purchases")
     high = subscribed & (purchases >= LOYAL_HIGH_FROM)
     medium = subscribed | (purchases >= LOYAL_MEDIUM_FROM)
-    return F.when(high, "High").when(medium, "Medium").otherwise("Low")
+    return F.when(high, LOYAL_HIGH).when(medium, LOYAL_MEDIUM).otherwise(LOYAL_REST)
 
 
 def extended_clv() -> Column:
     """Customer value that also weighs weekly buyers and subscribers."""
     amount = F.col("final_amount_usd")
-    weekly = F.when(
-        F.col("frequency_of_purchases") == WEEKLY, F.lit(EXTENDED_WEEKLY)
-    ).otherwise(F.lit(1.0))
-    subscribed = F.when(
-        F.col("subscription_status") == YES, F.lit(EXTENDED_SUBSCRIBED)
-    ).otherwise(F.lit(1.0))
+    weekly = F.col("frequency_of_purchases") == WEEKLY
+    subscribed = F.col("subscription_status") == YES
     history = F.col("previous_purchases") * amount * CLV_FACTOR
+    frequency = F.when(weekly, EXTENDED_WEEKLY).otherwise(1.0)
+    subscription = F.when(subscribed, EXTENDED_SUBSCRIBED).otherwise(1.0)
     return (
         history
-        + weekly * amount * EXTENDED_FREQUENCY_SHARE
-        + subscribed * amount * EXTENDED_SUBSCRIPTION_SHARE
+        + frequency * amount * EXTENDED_FREQUENCY_SHARE
+        + subscription * amount * EXTENDED_SUBSCRIPTION_SHARE
     )
 
 

@@ -40,8 +40,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Purchases below which a row belongs to the table that batches are checked against.
 PRELOADED_BELOW = 8
-#: Files the split query aims at, and micro-batches the stream query does at most.
+#: Files the split and the stream query aim at, so that they grow with the tables, and
+#: micro-batches the stream query takes at most.
 SPLIT_FILES = 400
+STREAM_FILES = 40
 STREAM_BATCHES = 4
 
 #: What each computed column depends on, shown next to it.
@@ -153,7 +155,7 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[OrdersTable, str]:
     """Write all orders to an inbox and drain it into a fresh table."""
     base = new_shared_folder(spark, "ingest")
     inbox, metrics = f"{base}/inbox", f"{base}/metrics"
-    rows_per_file = max(ROWS_PER_FILE, ceil(row_bound(spark, sf_dir) / SPLIT_FILES * 10))
+    rows_per_file = max(ROWS_PER_FILE, ceil(row_bound(spark, sf_dir) / STREAM_FILES))
     split_to_csv(raw_orders(spark, sf_dir), inbox, rows_per_file)
     files_per_trigger = max(FILES_PER_TRIGGER, ceil(count_files(spark, inbox) / STREAM_BATCHES))
     table = OrdersTable(f"{base}/orders", store_hash=True)
