@@ -2,12 +2,13 @@ import datetime
 
 import pytest
 from helpers import bag, orders
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillroll.operators.enrich import enrich_orders
 from tillroll.operators.dedup import hashes_of, with_row_hash
 from tillroll.schema import BUSINESS_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TABLE_SCHEMA
-from tillroll.sources import paths
+from tillroll.sources import orders_table, paths
 from tillroll.sources.orders_csv import (
     read_orders_csv,
     split_report,
@@ -90,7 +91,8 @@ def test_table_round_trip(spark, tmp_path, store_hash, cluster):
     rows = enrich_orders(
         orders(spark, *({"processed_time": datetime.datetime(2024, 1, d)} for d in (1, 2, 2)))
     )
-    table.append(with_row_hash(rows))
+    assert table.append(with_row_hash(rows)) == 3
+    assert table.append(rows.limit(0)) == 0
     assert table.read(spark).schema.simpleString() == TABLE_SCHEMA.simpleString()
     assert bag(table.read(spark)) == bag(rows)
     days = sorted(p.name for p in (tmp_path / "t").glob("processed_date=*"))
@@ -99,6 +101,13 @@ def test_table_round_trip(spark, tmp_path, store_hash, cluster):
     assert bag(hashes_of(table.snapshot(spark))) == bag(with_row_hash(rows).select("row_hash"))
 
 
+def test_an_unreported_count_does_not_block(spark, monkeypatch):
+    monkeypatch.setattr(orders_table, "COUNT_WAIT_SECONDS", 0.2)
+    never_run = Observation()
+    spark.range(1).observe(never_run, F.count(F.lit(1)).alias("rows"))
+    assert orders_table._observed(never_run, "rows") is None
+
+
 def test_hash_check_reads_one_column(spark, tmp_path):
     table = OrdersTable(str(tmp_path / "t"), store_hash=True)
     table.append(enrich_orders(orders(spark, {})))

@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from threading import Thread
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +16,7 @@ from tillroll.sources.paths import folder_exists
 FILE_FORMATS = frozenset({"parquet", "orc", "json"})
 _ABSENT = frozenset({"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"})
 CLUSTER_COLUMNS = ("category", "location")
+COUNT_WAIT_SECONDS = 60
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,8 @@ class OrdersTable:
     ``location`` is a folder for the file formats, else the connector's ``table`` option.
     ``store_hash`` keeps the row hash as a column, so that checking a batch against the
     table reads that one column and not the eighteen it is made of. ``cluster`` sorts
-    each written file by category and location.
+    each written file by category and location, and keeps the files of a load that spans
+    many days few.
     """
 
     location: str
@@ -75,11 +78,12 @@ class OrdersTable:
         }
         return stored.withColumns(missing).select(*TABLE_SCHEMA.names)
 
-    def append(self, rows: DataFrame) -> int:
+    def append(self, rows: DataFrame) -> int | None:
         """Append rows, aligned or enriched, and return how many there were.
 
         Files go to one folder per ingest day; an append of no rows writes no file. The
-        rows are counted while they are written, so they are computed once.
+        rows are counted while they are written, so they are computed once. Spark reports
+        the count by an event, which it may drop under load: None then.
         """
         if self.store_hash and ROW_HASH not in rows.columns:
             rows = rows.withColumn(ROW_HASH, row_hash())
@@ -96,15 +100,14 @@ class OrdersTable:
             writer.options(**self.options).partitionBy(PROCESSED_DATE).save(self.location)
         else:
             writer.options(**self._connector()).save()
-        return written.get["rows"]
+        return _observed(written, "rows")
 
     def _clustered(self, rows: DataFrame) -> DataFrame:
-        # A rebalance, unlike a plain repartition, splits a category that is too large
-        # for one task and merges small ones.
+        # A rebalance, unlike a plain repartition, splits a day or category that is too
+        # large for one task and merges small ones.
         lead = [PROCESSED_DATE] if self.is_files else []
-        return rows.hint("rebalance", *CLUSTER_COLUMNS).sortWithinPartitions(
-            *lead, *CLUSTER_COLUMNS
-        )
+        by = [*lead, *CLUSTER_COLUMNS]
+        return rows.hint("rebalance", *by).sortWithinPartitions(*by)
 
     def _file_schema(self) -> StructType:
         kept = [f for f in STORED_SCHEMA if f.name != ROW_HASH or self.store_hash]
@@ -114,6 +117,15 @@ class OrdersTable:
         return {"table": self.location, **self.options}
 
 
+def _observed(observation: Observation, name: str) -> int | None:
+    """One observed value, waiting a limited time: ``get`` alone would wait for ever."""
+    found: list[int] = []
+    waiter = Thread(target=lambda: found.append(observation.get[name]), daemon=True)
+    waiter.start()
+    waiter.join(COUNT_WAIT_SECONDS)
+    return found[0] if found else None
+
+
 def staged_connector_options(checkpoint: str) -> dict[str, str]:
     """Options of a warehouse connector that loads staged parquet files.
 

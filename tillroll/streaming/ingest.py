@@ -41,13 +41,15 @@ METRICS_SCHEMA = StructType(
 
 @dataclass(frozen=True)
 class BatchMetrics:
+    """Rows of a batch; ``new_rows`` is None if Spark did not report the written rows."""
+
     batch_id: int
     received: int
-    new_rows: int
+    new_rows: int | None
 
     @property
-    def duplicates(self) -> int:
-        return self.received - self.new_rows
+    def duplicates(self) -> int | None:
+        return None if self.new_rows is None else self.received - self.new_rows
 
 
 @dataclass(frozen=True)
@@ -75,12 +77,12 @@ class Ingest:
         finally:
             hashed.unpersist()
         metrics = BatchMetrics(batch_id, received, new_rows)
-        log.info("%s, %d duplicates", metrics, metrics.duplicates)
+        log.info("%s, %s duplicates", metrics, metrics.duplicates)
         if self.metrics_path:
             self._record(spark, metrics)
         return metrics
 
-    def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int:
+    def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int | None:
         rows = hashed
         stored = self.table.snapshot(spark, self.lookback_days)
         if stored is not None:
