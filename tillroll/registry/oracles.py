@@ -216,4 +216,8 @@ FROM (
     "ingest_metrics": _orders(f"""SELECT CAST(sum(n) AS BIGINT) AS received, count(*) AS new_rows,
   CAST(sum(n) - count(*) AS BIGINT) AS duplicates
 FROM (SELECT {_HASH} AS h, count(*) AS n FROM shop_orders GROUP BY 1)"""),
+    "redelivery_metrics": _orders(
+        "SELECT count(*) AS received, CAST(0 AS BIGINT) AS new_rows, count(*) AS duplicates\n"
+        "FROM shop_orders"
+    ),
 }

@@ -151,19 +151,25 @@ def dedup_within_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------------
 
 
-def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[OrdersTable, str]:
-    """Write all orders to an inbox and drain it into a fresh table."""
+def _run_stream(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> tuple[OrdersTable, str]:
+    """Write all orders to an inbox and drain it into a fresh table.
+
+    A second delivery reads the same inbox from a checkpoint of its own. The metrics are
+    those of the last one.
+    """
     base = new_shared_folder(spark, "ingest")
-    inbox, metrics = f"{base}/inbox", f"{base}/metrics"
+    inbox = f"{base}/inbox"
     rows_per_file = max(ROWS_PER_FILE, ceil(row_bound(spark, sf_dir) / STREAM_FILES))
     split_to_csv(raw_orders(spark, sf_dir), inbox, rows_per_file)
     files_per_trigger = max(FILES_PER_TRIGGER, ceil(count_files(spark, inbox) / STREAM_BATCHES))
     table = OrdersTable(f"{base}/orders", store_hash=True)
-    # Which copies share a batch depends on the files, so copies go in each batch too.
-    ingest = Ingest(table, metrics_path=metrics, drop_batch_copies=True)
-    start_ingest(
-        spark, inbox, f"{base}/checkpoint", ingest, files_per_trigger, drain=True
-    ).awaitTermination()
+    for delivery in range(deliveries):
+        metrics, checkpoint = f"{base}/metrics-{delivery}", f"{base}/checkpoint-{delivery}"
+        # Which copies share a batch depends on the files, so copies go in each batch too.
+        ingest = Ingest(table, metrics_path=metrics, drop_batch_copies=True)
+        start_ingest(
+            spark, inbox, checkpoint, ingest, files_per_trigger, drain=True
+        ).awaitTermination()
     return table, metrics
 
 
@@ -172,8 +178,8 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read(spark).drop(PROCESSED_TIME)
 
 
-def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, metrics = _run_stream(spark, sf_dir)
+def ingest_metrics(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> DataFrame:
+    _, metrics = _run_stream(spark, sf_dir, deliveries)
     return read_metrics(spark, metrics).agg(
         F.sum("received").alias("received"),
         F.sum("new_rows").alias("new_rows"),
@@ -246,4 +252,5 @@ QUERIES: dict[str, Query] = {
     "dedup_within_batch": dedup_within_batch,
     "stream_ingest": stream_ingest,
     "ingest_metrics": ingest_metrics,
+    "redelivery_metrics": partial(ingest_metrics, deliveries=2),
 }
