@@ -74,13 +74,22 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(21, int(n).bit_length()))
 
 
+class Spans:
+    """Hashes of any spans of one array of bytes, each in a few steps whatever its length."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(len(data) + 1)
+        self.total = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=self.total[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        value = (self.total[ends] - self.total[starts]) * self.down[starts]
+        return mix(value ^ ((ends - starts).astype(np.uint64) << np.uint64(32)))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span, whatever the spans' lengths."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
-    value = (total[ends] - total[starts]) * down[starts]
-    return mix(value ^ ((ends - starts).astype(np.uint64) << np.uint64(32)))
+    """A 64-bit hash of data[start:end] for each span."""
+    return Spans(data).hashes(starts, ends)
 
 
 @dataclass

@@ -8,10 +8,16 @@ from tillroll.llm.decontamination import contaminated
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.secret_scan import secret_report
 from tillroll.llm.token_cache import token_counts
+from tillroll.llm.toxicity import toxicity
 
 OVER_LIMIT = 2048
 
 
+def op3_toxicity(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity(documents(spark, sf_dir), labels)
+
+
 def op4_secret_scan(spark, sf_dir):
     return secret_report(documents(spark, sf_dir))
 
@@ -38,6 +44,7 @@ def op10_exact_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_toxicity,
         op4_secret_scan,
         op5_decontamination,
         op7_packing,
