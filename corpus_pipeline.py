@@ -1,8 +1,55 @@
-"""A corpus from raw documents: toxicity, exact and near copies, benchmark leaks, packing."""
+"""A corpus from raw documents: toxicity, exact and near copies, benchmark leaks, packing.
 
+Every stage takes the documents its predecessor kept, written as Parquet and read again.
+The first four return documents with unchanged columns; packing adds the batch columns.
+"""
+
+from tillroll.llm.block_naming import distinct_documents
+from tillroll.llm.common import importable, saved
+from tillroll.llm.decontamination import without_contaminated
+from tillroll.llm.jaccard_join import one_of_each
+from tillroll.llm.packing import packed, word_lengths
+from tillroll.llm.toxicity import without_toxic
+
+
+def toxicity_stage(spark, docs, sf_dir):
+    importable(spark)
+    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_dedup_stage(spark, docs, sf_dir):
+    importable(spark)
+    return distinct_documents(docs)
+
+
+def jaccard_stage(spark, docs, sf_dir):
+    importable(spark)
+    return one_of_each(docs)
+
+
+def decontamination_stage(spark, docs, sf_dir):
+    importable(spark)
+    return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark, docs, sf_dir):
+    importable(spark)
+    return packed(word_lengths(docs))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_dedup_stage),
+    ("ngram_jaccard_join", jaccard_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
+#: Scores of the learned classifier and near copies over word shingles are beyond SQL.
 ORACLE_SQL = None
-STAGES = []
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return docs

@@ -201,3 +201,21 @@ def exact_duplicates(
         (single | (F.col("best.rid") == F.col("rid"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def distinct_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows that stay, all columns unchanged.
+
+    Of rows that repeat a doc_id and an equal text one stays, whichever comes first.
+    """
+    kept = (
+        exact_duplicates(docs, text=text, **options)
+        .filter("kept")
+        .select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
+    )
+    normal = F.regexp_replace(text_or_empty(text), SPACE, " ")
+    keyed = docs.withColumn("k_own", F.sha2(F.encode(normal, "UTF-8"), 256))
+    on = (F.col("k_own") == F.col("k_sha")) & docs["doc_id"].eqNullSafe(F.col("k_id"))
+    return (
+        keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "k_own"]).select(docs.columns)
+    )

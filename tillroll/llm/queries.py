@@ -1,10 +1,13 @@
 """The registered queries of the package, with their SQL where SQL can express them."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
+from tillroll.llm import substring_dedup, suffix_dedup
 from tillroll.llm.block_naming import exact_duplicates
 from tillroll.llm.common import documents
 from tillroll.llm.decontamination import contaminated
+from tillroll.llm.jaccard_join import near_duplicates
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.secret_scan import secret_report
 from tillroll.llm.token_cache import token_counts
@@ -13,6 +16,18 @@ from tillroll.llm.toxicity import toxicity
 OVER_LIMIT = 2048
 
 
+def _with_digest(left):
+    return left.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op1_suffix_array_dedup(spark, sf_dir):
+    return _with_digest(suffix_dedup.remove_repeats(documents(spark, sf_dir)))
+
+
+def op2_substring_dedup(spark, sf_dir):
+    return _with_digest(substring_dedup.remove_repeats(documents(spark, sf_dir)))
+
+
 def op3_toxicity(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity(documents(spark, sf_dir), labels)
@@ -27,6 +42,10 @@ def op5_decontamination(spark, sf_dir):
     return contaminated(documents(spark, sf_dir), benchmark)
 
 
+def op6_ngram_jaccard_join(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_packing(spark, sf_dir):
     return pack_documents(documents(spark, sf_dir))
 
@@ -44,9 +63,12 @@ def op10_exact_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_array_dedup,
+        op2_substring_dedup,
         op3_toxicity,
         op4_secret_scan,
         op5_decontamination,
+        op6_ngram_jaccard_join,
         op7_packing,
         op8_token_counts,
         op10_exact_dedup,
