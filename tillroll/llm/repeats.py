@@ -33,9 +33,9 @@ from tillroll.llm.arrays import (
 )
 from tillroll.llm.common import saved, text_or_empty
 
-HOT_DOCUMENTS = 50_000
+HOT_DOCUMENTS = 20_000
 #: Tokens that a solver gets at once; an anchor with more comes alone.
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 #: Stands for "no document"; a row without a doc_id counts as the largest document.
 NOBODY = np.iinfo(np.int64).max
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.repeats import NOBODY, Unit, without_repeats
-from tillroll.llm.suffix_dedup import suffix_array
+from tillroll.llm.suffix_dedup import sorted_suffixes
 
 WINDOW_WORDS = 13
 ANCHOR_WORDS = 5
@@ -63,11 +63,11 @@ class FMIndex:
     """Backward search over pieces of symbols from 1 up; 0 ends a piece."""
 
     def __init__(self, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_symbols: int):
-        # Each piece gets a 0 behind it; the suffix array never looks beyond.
+        # Each piece gets a 0 behind it; a suffix never looks beyond.
         sizes = ends - starts
         text = np.insert(symbols, ends, 0)
         ends = ends + np.arange(1, len(ends) + 1)
-        self.order = suffix_array(text, ends - sizes - 1, ends).order
+        self.order = sorted_suffixes(text, ends - sizes - 1, ends)[0]
         self.tree = WaveletTree(text[self.order - 1], max(1, int(n_symbols).bit_length()))
         counts = np.bincount(text, minlength=n_symbols + 2)
         self.smaller = np.concatenate([[0], np.cumsum(counts)])

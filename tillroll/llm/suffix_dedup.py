@@ -1,7 +1,7 @@
 """Suffix-array de-duplication of byte strings.
 
-A shard's fragments (see ``repeats``) are concatenated, every suffix sorted, and the
-lengths of the common prefixes of neighbours (LCP) found: an enhanced suffix array. A scan
+A shard's fragments (see ``repeats``) are concatenated, their suffixes of WINDOW_BYTES or
+more sorted, and the lengths of the common prefixes of neighbours (LCP) found: an enhanced suffix array. A scan
 with a stack walks its tree of LCP intervals. An interval of length L holds all suffixes
 that begin with one string of L bytes; if the bytes before them differ, the string can't
 be extended to the left either, and the interval is a maximal repeat group with all its
@@ -25,50 +25,41 @@ ANCHOR_BYTES = 20
 
 @dataclass
 class SuffixArray:
-    """Order of the suffixes and common prefix of each with the one before.
-
-    Pieces end with a separator of their own, so that no common prefix crosses one.
-    """
+    """Order of the suffixes, as places of their first token, and common prefix of each
+    with the one before."""
 
     order: np.ndarray
     lcp: np.ndarray
 
 
-def suffix_array(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> SuffixArray:
-    """Ranks by the first 1, 2, 4, ... tokens; past the end of a piece, a rank of its own.
+def sorted_suffixes(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the suffixes of at least ``least`` tokens in order, their tokens, and lengths.
 
-    Two suffixes with equal ranks at a step agree in that many tokens. So the steps, from
-    the longest down, add up to the common prefix of neighbours.
+    A suffix ends with its piece. Pieces are short, so a row of tokens holds any suffix,
+    zeros behind its end; of rows that are then equal the shorter suffix comes first, and
+    equal suffixes stay in their order of place.
     """
-    n = len(values)
-    left = np.repeat(ends, ends - starts) - np.arange(n)  # tokens up to the piece's end
-    ranks = [np.unique(values, return_inverse=True)[1].astype(np.int64)]
-    reach, longest = 1, int((ends - starts).max())
-    order = np.argsort(ranks[0], kind="stable")
-    while reach < longest:
-        rank = ranks[-1]
-        here = np.arange(n)
-        inside = left > reach
-        # Suffixes that end here sort before all others, and are unlike each other.
-        second = np.where(inside, 0, here)
-        second[inside] = rank[here[inside] + reach] + n
-        order = np.lexsort((second, rank))
-        fresh = np.ones(n, dtype=bool)
-        fresh[1:] = (rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1])
-        ranks.append(np.empty(n, dtype=np.int64))
-        ranks[-1][order] = np.cumsum(fresh) - 1
-        reach *= 2
-    lcp = np.zeros(n, dtype=np.int64)
-    a, b = order[:-1].copy(), order[1:].copy()
-    common = np.zeros(n - 1, dtype=np.int64)
-    limit = np.minimum(left[a], left[b])
-    for level in range(len(ranks) - 1, -1, -1):
-        step = 1 << level
-        may = common + step <= limit
-        x, y = a + common, b + common
-        x[~may] = y[~may] = 0
-        common += step * (may & (ranks[level][x] == ranks[level][y]))
-    lcp[1:] = common
+    left = np.repeat(ends, ends - starts) - np.arange(len(values))
+    at = np.flatnonzero(left >= least)
+    at = at[np.argsort(left[at], kind="stable")]
+    width = int((ends - starts).max())
+    padded = np.concatenate([values, np.zeros(width, values.dtype)])
+    rows = np.lib.stride_tricks.sliding_window_view(padded, width)[at]
+    rows[np.arange(width) >= left[at][:, None]] = 0
+    if rows.itemsize > 1:
+        rows = rows.astype(">u4")  # compared byte by byte
+    order = np.argsort(rows.view(f"S{width * rows.itemsize}").ravel(), kind="stable")
+    return at[order], rows[order], left[at[order]]
+
+
+def suffix_array(values, starts, ends, least: int) -> SuffixArray:
+    order, rows, left = sorted_suffixes(values, starts, ends, least)
+    lcp = np.zeros(len(order), dtype=np.int64)
+    differ = rows[1:] != rows[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    lcp[1:] = np.minimum(common, np.minimum(left[1:], left[:-1]))
     return SuffixArray(order, lcp)
 
 
@@ -121,7 +112,7 @@ def lowest_by_suffixes(values, starts, ends, lows, others, window=WINDOW_BYTES)
     low = np.repeat(np.concatenate([lows, others[several]]), all_sizes)
     before = np.concatenate([[-1], values[:-1].astype(np.int64)])
     before[all_starts] = -1
-    array = suffix_array(values, all_starts, all_ends)
+    array = suffix_array(values, all_starts, all_ends, window)
     lowest = np.full(len(values), NOBODY)
     groups = list(maximal_repeats(array, before, low, window))
     if groups:
