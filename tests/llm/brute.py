@@ -36,3 +36,58 @@ def word_repeats(rows, window=13):
     for (doc_id, _), text, gone in zip(rows, texts, _covered(rows, texts, window), strict=True):
         left = " ".join(w for w, g in zip(text, gone, strict=True) if not g)
         yield doc_id, len(text), sum(gone), hashlib.sha256(left.encode()).hexdigest()
+
+
+def jaccard(rows, n=3):
+    """doc_id, n_shingles, component_id."""
+    sets = []
+    for _, text in rows:
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        w = tuple(WORD.findall(lower))
+        sets.append({w[i : i + n] for i in range(len(w) - n + 1)} or ({w} if w else set()))
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+                x, y = root(i), root(j)
+                if rows[x][0] > rows[y][0]:
+                    x, y = y, x
+                parent[y] = x
+    for i, (doc_id, _) in enumerate(rows):
+        yield doc_id, len(sets[i]), rows[root(i)][0]
+
+
+def backoff(rows, order=3, alpha=0.4, unseen=0.5):
+    """doc_id, n_words, score of each row by the model of all other rows."""
+    from collections import Counter
+    from math import log
+
+    texts = []
+    for _, text in rows:
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        texts.append(tuple(WORD.findall(lower)))
+    own = []
+    for w in texts:
+        own.append(Counter(w[i : i + k] for k in range(1, order + 1) for i in range(len(w) - k + 1)))
+    full = sum(own, Counter())
+    n_all = sum(map(len, texts))
+    for (doc_id, _), w, mine in zip(rows, texts, own, strict=True):
+        score = 0.0
+        for i in range(len(w)):
+            for k in range(min(order, i + 1), 0, -1):
+                g = w[i + 1 - k : i + 1]
+                count = full[g] - mine[g]
+                past = full[g[:-1]] - mine[g[:-1]] if k > 1 else n_all - len(w)
+                if k == 1:
+                    count, past = max(count, unseen), max(past, 1)
+                if count > 0 and past > 0:
+                    score += log(count / past) + log(alpha) * (order - k)
+                    break
+        yield doc_id, len(w), score

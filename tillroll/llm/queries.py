@@ -8,6 +8,7 @@ from tillroll.llm.block_naming import exact_duplicates
 from tillroll.llm.common import documents
 from tillroll.llm.decontamination import contaminated
 from tillroll.llm.jaccard_join import near_duplicates
+from tillroll.llm.ngram_scores import stupid_backoff
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.secret_scan import secret_report
 from tillroll.llm.token_cache import token_counts
@@ -56,6 +57,11 @@ def op8_token_counts(spark, sf_dir):
     return counts.withColumn("over_limit", counts["n_tokens"] > OVER_LIMIT)
 
 
+def op9_lm_scoring(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return stupid_backoff(docs, docs)
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -71,6 +77,7 @@ QUERIES = {
         op6_ngram_jaccard_join,
         op7_packing,
         op8_token_counts,
+        op9_lm_scoring,
         op10_exact_dedup,
     )
 }
