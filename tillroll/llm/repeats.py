@@ -186,10 +186,10 @@ def _occurrences(unit: Unit):
     return cut
 
 
-#: Gets the tokens of all pieces, where each begins and ends, and its smallest document and
-#: another one if it has any, else NOBODY. Gives for every token the smallest document with
-#: the window that begins there; what it gives for a piece's last window - 1 tokens is unused.
-Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: Gets the tokens of all pieces, where each begins and ends, and its smallest document. Gives
+#: for every token the smallest document of the pieces with the window that begins there, or
+#: NOBODY if only one has it; what it gives for a piece's last window - 1 tokens is unused.
+Solver = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
 def _solve(solver: Solver, unit: Unit):
@@ -203,7 +203,7 @@ def _solve(solver: Solver, unit: Unit):
         ends = np.cumsum(sizes)
         starts = ends - sizes
         values = np.frombuffer(b"".join(pieces), dtype=kind)
-        lowest = solver(values, starts, ends, lows, np.where(highs > lows, highs, NOBODY))
+        lowest = solver(values, starts, ends, lows)
         n_windows = sizes - unit.window + 1
         at, piece = ragged(starts, n_windows), np.repeat(np.arange(len(sizes)), n_windows)
         low = np.minimum(lowest[at], lows[piece])

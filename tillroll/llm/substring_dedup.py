@@ -106,7 +106,7 @@ def _range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def lowest_by_index(values, starts, ends, lows, others, window=WINDOW_WORDS) -> np.ndarray:
+def lowest_by_index(values, starts, ends, lows, window=WINDOW_WORDS) -> np.ndarray:
     """The solver: see ``repeats.Solver``. An index holds a piece once, with its smallest document."""
     distinct, symbols = np.unique(values, return_inverse=True)
     symbols = symbols.astype(np.int64) + 1

@@ -5,7 +5,8 @@ more sorted, and the lengths of the common prefixes of neighbours (LCP) found: a
 with a stack walks its tree of LCP intervals. An interval of length L holds all suffixes
 that begin with one string of L bytes; if the bytes before them differ, the string can't
 be extended to the left either, and the interval is a maximal repeat group with all its
-occurrences, not only neighbouring ones. A group's smallest document keeps its bytes, all
+occurrences, not only neighbouring ones. An occurrence in a fragment is one wherever that
+fragment stands; equal fragments were combined before. A group's smallest document keeps its bytes, all
 other occurrences of at least WINDOW_BYTES go.
 """
 
@@ -100,19 +101,12 @@ def maximal_repeats(
                 stack.append([length, bound, char, lowest])
 
 
-def lowest_by_suffixes(values, starts, ends, lows, others, window=WINDOW_BYTES) -> np.ndarray:
+def lowest_by_suffixes(values, starts, ends, lows, window=WINDOW_BYTES) -> np.ndarray:
     """The solver: see ``repeats.Solver``."""
-    # A piece of several documents is there twice, so that it repeats in the array.
-    several = others != NOBODY
-    sizes = ends - starts
-    values = np.concatenate([values, values[ragged(starts[several], sizes[several])]])
-    all_sizes = np.concatenate([sizes, sizes[several]])
-    all_ends = np.cumsum(all_sizes)
-    all_starts = all_ends - all_sizes
-    low = np.repeat(np.concatenate([lows, others[several]]), all_sizes)
+    low = np.repeat(lows, ends - starts)
     before = np.concatenate([[-1], values[:-1].astype(np.int64)])
-    before[all_starts] = -1
-    array = suffix_array(values, all_starts, all_ends, window)
+    before[starts] = -1
+    array = suffix_array(values, starts, ends, window)
     lowest = np.full(len(values), NOBODY)
     groups = list(maximal_repeats(array, before, low, window))
     if groups:
@@ -122,7 +116,7 @@ def lowest_by_suffixes(values, starts, ends, lows, others, window=WINDOW_BYTES)
         n_windows = np.repeat(length - window + 1, count)
         at = ragged(places, n_windows)
         np.minimum.at(lowest, at, np.repeat(np.repeat(least, count), n_windows))
-    return lowest[: int(ends[-1])]
+    return lowest
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
