@@ -172,3 +172,11 @@ def test_connector_options(spark):
 def test_schemas_line_up():
     assert TABLE_SCHEMA.names[:18] == list(BUSINESS_COLUMNS)
     assert len(TABLE_SCHEMA) == 29 and all(f.nullable for f in TABLE_SCHEMA)
+
+
+def test_split_keeps_white_space(spark, tmp_path):
+    from tillroll.sources.orders_csv import split_to_csv
+
+    folder = str(tmp_path / "split")
+    split_to_csv(spark.createDataFrame([("  padded ",)], "size string"), folder)
+    assert [r[0] for r in spark.read.csv(folder, header=True).collect()] == ["  padded "]

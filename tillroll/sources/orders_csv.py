@@ -49,9 +49,15 @@ def split_to_csv(df: DataFrame, folder: str, rows_per_file: int = ROWS_PER_FILE)
     """Write a table as CSV files of at most ``rows_per_file`` rows, a header in each.
 
     Every partition splits its own rows, so no shuffle and no global row number; the
-    last file of a partition may be shorter.
+    last file of a partition may be shorter. White space around a cell's text is kept.
     """
-    df.write.option("header", True).option("maxRecordsPerFile", rows_per_file).csv(folder)
+    (
+        df.write.option("header", True)
+        .option("maxRecordsPerFile", rows_per_file)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
 
 
 def split_report(split: DataFrame) -> DataFrame:

@@ -41,11 +41,13 @@ def count_files(spark: SparkSession, path: str) -> int:
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under the cluster's ``spark.checkpoint.dir``. Only where that is unset, as
-    on a single machine, is it a local temporary folder.
+    It lies under the cluster's ``spark.checkpoint.dir``. Only where that is unset on a
+    single machine is it a local temporary folder; on a cluster that is an error.
     """
     shared = spark.conf.get(SHARED_DIR_SETTING, None)
     if not shared:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"{SHARED_DIR_SETTING} must name a folder all executors share")
         return tempfile.mkdtemp(prefix=f"{purpose}-")
     folder = f"{shared.rstrip('/')}/{purpose}-{uuid4().hex}"
     ensure_folder(spark, folder)
