@@ -314,8 +314,9 @@ def near_duplicates(
         )
     )
     on = (F.col("digest") == F.col("n_digest")) & F.col("doc_id").eqNullSafe(F.col("n_id"))
+    # The same join at every size: how many sets are near copies follows the corpus.
     links = (
-        rows.join(tasks, on)
+        rows.join(tasks.hint("merge"), on)
         .select("block", "i", "j", "set_id", "text")
         .repartition("block", "i", "j")
         .sortWithinPartitions("block", "i", "j", "set_id")
