@@ -128,7 +128,7 @@ def test_a_batch_replayed_after_its_append_is_not_written_twice(pipeline):
 
 
 class BrokenTable(OrdersTable):
-    def snapshot(self, spark, lookback_days=None):
+    def snapshot(self, spark):
         raise OSError("storage is away")
 
 

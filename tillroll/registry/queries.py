@@ -25,7 +25,6 @@ from tillroll.plans import reports, views
 from tillroll.registry.adapter import row_bound, shop_orders
 from tillroll.schema import ALIGNED_COLUMNS, BUSINESS_COLUMNS, PROCESSED_TIME, RAW_COLUMNS
 from tillroll.sources.orders_csv import (
-    FILES_PER_TRIGGER,
     ROWS_PER_FILE,
     read_orders_csv,
     split_report,
@@ -33,18 +32,16 @@ from tillroll.sources.orders_csv import (
     split_totals,
 )
 from tillroll.sources.orders_table import OrdersTable
-from tillroll.sources.paths import count_files, new_shared_folder
+from tillroll.sources.paths import new_shared_folder
 from tillroll.streaming.ingest import Ingest, read_metrics, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Purchases below which a row belongs to the table that batches are checked against.
 PRELOADED_BELOW = 8
-#: Files the split and the stream query aim at, so that they grow with the tables, and
-#: micro-batches the stream query takes at most.
+#: Files the split and the stream query aim at.
 SPLIT_FILES = 400
 STREAM_FILES = 40
-STREAM_BATCHES = 4
 
 #: What each computed column depends on, shown next to it.
 COLUMN_INPUTS = {
@@ -161,15 +158,12 @@ def _run_stream(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> tuple[
     inbox = f"{base}/inbox"
     rows_per_file = max(ROWS_PER_FILE, ceil(row_bound(spark, sf_dir) / STREAM_FILES))
     split_to_csv(raw_orders(spark, sf_dir), inbox, rows_per_file)
-    files_per_trigger = max(FILES_PER_TRIGGER, ceil(count_files(spark, inbox) / STREAM_BATCHES))
     table = OrdersTable(f"{base}/orders", store_hash=True)
     for delivery in range(deliveries):
         metrics, checkpoint = f"{base}/metrics-{delivery}", f"{base}/checkpoint-{delivery}"
         # Which copies share a batch depends on the files, so copies go in each batch too.
         ingest = Ingest(table, metrics_path=metrics, drop_batch_copies=True)
-        start_ingest(
-            spark, inbox, checkpoint, ingest, files_per_trigger, drain=True
-        ).awaitTermination()
+        start_ingest(spark, inbox, checkpoint, ingest, drain=True).awaitTermination()
     return table, metrics
 
 

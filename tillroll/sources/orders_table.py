@@ -2,10 +2,9 @@
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from threading import Thread
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,7 +15,6 @@ from tillroll.sources.paths import folder_exists
 FILE_FORMATS = frozenset({"parquet", "orc", "json"})
 _ABSENT = frozenset({"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"})
 CLUSTER_COLUMNS = ("category", "location")
-COUNT_WAIT_SECONDS = 60
 
 
 @dataclass(frozen=True)
@@ -40,31 +38,26 @@ class OrdersTable:
     def is_files(self) -> bool:
         return self.format in FILE_FORMATS
 
-    def snapshot(self, spark: SparkSession, lookback_days: int | None = None) -> DataFrame | None:
+    def snapshot(self, spark: SparkSession) -> DataFrame | None:
         """The stored rows with their helper columns; None while there is no table.
 
         Only a missing table counts as empty. Any other failure is raised: taking an
         unreadable table for an empty one would append every row again. Files are read
         under the declared schema: rows from before a column was added have null there,
-        and no file footer is opened to find out. ``lookback_days`` prunes old days.
+        and no file footer is opened to find out.
         """
         if self.is_files:
             if not folder_exists(spark, self.location):
                 return None
             rows = spark.read.format(self.format).options(**self.options)
-            stored = rows.schema(self._file_schema()).load(self.location)
+            return rows.schema(self._file_schema()).load(self.location)
         else:
             try:
-                stored = spark.read.format(self.format).options(**self._connector()).load()
+                return spark.read.format(self.format).options(**self._connector()).load()
             except AnalysisException as failure:
                 if failure.getCondition() in _ABSENT:
                     return None
                 raise
-        if lookback_days is None:
-            return stored
-        oldest = F.date_sub(F.current_date(), lookback_days)
-        day = F.col(PROCESSED_DATE) if self.is_files else F.to_date(PROCESSED_TIME)
-        return stored.filter(day >= oldest)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The stored rows under the table schema."""
@@ -78,12 +71,11 @@ class OrdersTable:
         }
         return stored.withColumns(missing).select(*TABLE_SCHEMA.names)
 
-    def append(self, rows: DataFrame) -> int | None:
+    def append(self, rows: DataFrame) -> int:
         """Append rows, aligned or enriched, and return how many there were.
 
         Files go to one folder per ingest day; an append of no rows writes no file. The
-        rows are counted while they are written, so they are computed once. Spark reports
-        the count by an event, which it may drop under load: None then.
+        rows are persisted, counted and written, so they are computed once.
         """
         if self.store_hash and ROW_HASH not in rows.columns:
             rows = rows.withColumn(ROW_HASH, row_hash())
@@ -93,14 +85,17 @@ class OrdersTable:
             rows = rows.withColumn(PROCESSED_DATE, F.to_date(PROCESSED_TIME))
         if self.cluster:
             rows = self._clustered(rows)
-        written = Observation()
-        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        writer = rows.write.format(self.format).mode("append")
-        if self.is_files:
-            writer.options(**self.options).partitionBy(PROCESSED_DATE).save(self.location)
-        else:
-            writer.options(**self._connector()).save()
-        return _observed(written, "rows")
+        rows = rows.persist()
+        try:
+            count = rows.count()
+            writer = rows.write.format(self.format).mode("append")
+            if self.is_files:
+                writer.options(**self.options).partitionBy(PROCESSED_DATE).save(self.location)
+            else:
+                writer.options(**self._connector()).save()
+        finally:
+            rows.unpersist()
+        return count
 
     def _clustered(self, rows: DataFrame) -> DataFrame:
         # A rebalance, unlike a plain repartition, splits a day or category that is too
@@ -117,15 +112,6 @@ class OrdersTable:
         return {"table": self.location, **self.options}
 
 
-def _observed(observation: Observation, name: str) -> int | None:
-    """One observed value, waiting a limited time: ``get`` alone would wait for ever."""
-    found: list[int] = []
-    waiter = Thread(target=lambda: found.append(observation.get[name]), daemon=True)
-    waiter.start()
-    waiter.join(COUNT_WAIT_SECONDS)
-    return found[0] if found else None
-
-
 def staged_connector_options(checkpoint: str) -> dict[str, str]:
     """Options of a warehouse connector that loads staged parquet files.
 

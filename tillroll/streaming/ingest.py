@@ -41,15 +41,15 @@ METRICS_SCHEMA = StructType(
 
 @dataclass(frozen=True)
 class BatchMetrics:
-    """Rows of a batch; ``new_rows`` is None if Spark did not report the written rows."""
+    """Rows of a batch, and how many of them the table did not have."""
 
     batch_id: int
     received: int
-    new_rows: int | None
+    new_rows: int
 
     @property
-    def duplicates(self) -> int | None:
-        return None if self.new_rows is None else self.received - self.new_rows
+    def duplicates(self) -> int:
+        return self.received - self.new_rows
 
 
 @dataclass(frozen=True)
@@ -57,14 +57,12 @@ class Ingest:
     """How a batch is checked and where it goes.
 
     ``metrics_path`` collects one row per batch; a batch delivered again replaces its
-    row. ``lookback_days`` compares with recent days only, which changes the result
-    when older rows come again.
+    row.
     """
 
     table: OrdersTable
     metrics_path: str | None = None
     drop_batch_copies: bool = False
-    lookback_days: int | None = None
     broadcast_limit: int = BROADCAST_LIMIT
 
     def handle(self, batch: DataFrame, batch_id: int) -> BatchMetrics:
@@ -82,9 +80,9 @@ class Ingest:
             self._record(spark, metrics)
         return metrics
 
-    def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int | None:
+    def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int:
         rows = hashed
-        stored = self.table.snapshot(spark, self.lookback_days)
+        stored = self.table.snapshot(spark)
         if stored is not None:
             rows = drop_known_rows(rows, hashes_of(stored), received, self.broadcast_limit)
         if self.drop_batch_copies:
