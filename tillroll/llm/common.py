@@ -36,10 +36,21 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     This cuts the lineage: a lost executor costs its running tasks only, and values that
     depend on the order of rows, such as generated ids, stay as they were written.
     """
+    return saved_at(df, purpose)[0]
+
+
+def saved_at(df: DataFrame, purpose: str, *partitions: str) -> tuple[DataFrame, str]:
+    """As ``saved``, with the folder, which ``discard`` takes once nothing reads it."""
     spark = df.sparkSession
     path = f"{new_shared_folder(spark, purpose)}/rows"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate result that no frame will read again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def same(left: Column, right: Column) -> Column:

@@ -1,6 +1,5 @@
 """The registered queries of the package, with their SQL where SQL can express them."""
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillroll.llm import substring_dedup, suffix_dedup
@@ -8,6 +7,7 @@ from tillroll.llm.block_naming import exact_duplicates
 from tillroll.llm.common import documents
 from tillroll.llm.decontamination import contaminated
 from tillroll.llm.jaccard_join import near_duplicates
+from tillroll.llm.line_dedup import drop_repeated_lines
 from tillroll.llm.ngram_scores import stupid_backoff
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.secret_scan import secret_report
@@ -52,6 +52,8 @@ def op7_packing(spark, sf_dir):
 
 
 def op8_token_counts(spark, sf_dir):
+    import public_tokenizers  # only this query needs the vocabulary files
+
     path = public_tokenizers.path("word_bpe_49k.json")
     counts = token_counts(documents(spark, sf_dir), path)
     return counts.withColumn("over_limit", counts["n_tokens"] > OVER_LIMIT)
@@ -66,6 +68,10 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op12_line_dedup(spark, sf_dir):
+    return _with_digest(drop_repeated_lines(documents(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +85,7 @@ QUERIES = {
         op8_token_counts,
         op9_lm_scoring,
         op10_exact_dedup,
+        op12_line_dedup,
     )
 }
 ORACLES = {
@@ -136,4 +143,20 @@ WITH t AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
     doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW g AS (PARTITION BY norm)""",
+    "op12_line_dedup": r"""
+WITH lines AS (
+    SELECT doc_id, unnest(range(len(parts))) AS place, unnest(parts) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+frequent AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+    SELECT doc_id, place, line, coalesce(doc_id <> last, false) AS gone
+    FROM keyed LEFT JOIN frequent USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""",
 }
