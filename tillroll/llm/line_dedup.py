@@ -215,7 +215,9 @@ def drop_repeated_lines(
     gone = saved(_lines_to_drop(lines, frequent), "dropped")
     discard(spark, lines_path)
     discard(spark, frequent_path)
-    kept = rows.join(gone, "id", "left").mapInArrow(
+    # The lists grow with the corpus, and in memory they are some twenty times their files,
+    # which Spark would judge them by; so they are never broadcast.
+    kept = rows.join(gone.hint("merge"), "id", "left").mapInArrow(
         _without_lines(min_length),
         f"id {id_type}, n_lines bigint, n_dropped bigint, kept string",
     )
