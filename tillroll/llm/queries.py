@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import substring_dedup, suffix_dedup
 from tillroll.llm.block_naming import exact_duplicates
-from tillroll.llm.common import documents
+from tillroll.llm.common import documents, importable
+from tillroll.llm.conversation_repair import repair_report
 from tillroll.llm.decontamination import contaminated
 from tillroll.llm.jaccard_join import near_duplicates
 from tillroll.llm.line_dedup import drop_repeated_lines
@@ -13,6 +14,7 @@ from tillroll.llm.packing import pack_documents
 from tillroll.llm.secret_scan import secret_report
 from tillroll.llm.token_cache import token_counts
 from tillroll.llm.toxicity import toxicity
+from tillroll.llm.whitening import whiten
 
 OVER_LIMIT = 2048
 
@@ -68,10 +70,51 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    importable(spark)
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_line_dedup(spark, sf_dir):
     return _with_digest(drop_repeated_lines(documents(spark, sf_dir)))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    importable(spark)
+    return repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def _cheapest(role: str, rest: dict[int, str]) -> str:
+    """SQL columns c0 to c3 of a message before ``rest``, the columns of the ending after it.
+
+    A column holds the cost in ten digits and then the edits, so that the least text is the
+    cheapest way and, of equal ones, that with the least edits. States: 0 at the start, 1
+    after system, 2 after user, 3 after assistant.
+    """
+    after = (2, 2, 3, 2)
+
+    def way(cost: str, edit: str, column: str) -> str:
+        total = f"CAST(left({column}, 10) AS BIGINT) + {cost}"
+        return f"lpad(CAST({total} AS VARCHAR), 10, '0') || '{edit}' || substr({column}, 11)"
+
+    own = []
+    for state in range(4):
+        keeps = {"s": [0], "u": [0, 1, 3], "a": [2]}
+        kept = "".join(
+            f" WHEN {role} = '{r}' THEN {way('late', 'K', rest[to])}"
+            for r, to in (("s", 1), ("u", 2), ("a", 3))
+            if state in keeps[r]
+        )
+        kept = f"CASE WHEN goes THEN NULL{kept} END"
+        new = f"CASE WHEN goes THEN NULL ELSE {way('3 + late', 'R', rest[after[state]])} END"
+        own.append(f"least({way('4', 'D', rest[state])}, {kept}, {new})")
+    both = [f"least(o{s}, {way('3', 'I', f'o{after[s]}')})" for s in (2, 3)]
+    lead = [f"least(o{s}, {way('3', 'I', both[0])})" for s in (0, 1)]
+    named = [f"{x} AS o{s}" for s, x in enumerate(own)]
+    ends = [f"{x} AS c{s}" for s, x in enumerate([*lead, *both])]
+    return f"SELECT conv_id, k, {', '.join(ends)} FROM (SELECT conv_id, symbols.k AS k, {', '.join(named)} FROM"
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,7 +128,9 @@ QUERIES = {
         op8_token_counts,
         op9_lm_scoring,
         op10_exact_dedup,
+        op11_embedding_whitening,
         op12_line_dedup,
+        op13_conversation_repair,
     )
 }
 ORACLES = {
@@ -159,4 +204,71 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+    FROM conversations),
+coded AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT),
+            list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: list_reduce(
+            list_prepend(xor(c, b), list_transform(range(8), lambda i: CAST(0 AS BIGINT))),
+            lambda x, i: xor(x // 2, 3988292384 * (x % 2)))), 4294967295) % 20 AS code
+    FROM keyed),
+messages AS (
+    SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+        CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM coded WHERE code <> 0),
+placed AS (
+    SELECT *, row_number() OVER o AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+        left(role, 1) AS initial, lag(left(role, 1)) OVER o || left(role, 1) AS pair
+    FROM messages WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)),
+faults AS (
+    SELECT *, bare = '' AS blank, bare <> '' AND seen AS duplicate, bare = '' OR seen AS goes,
+        bare <> '' AND NOT seen AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated
+    FROM placed),
+symbols AS (SELECT *, n - i + 1 AS k, CASE WHEN truncated THEN 3 ELSE 0 END AS late FROM faults),
+way(conv_id, k, c0, c1, c2, c3) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '0000000000', '0000000006II', '0000000003I', '0000000000'
+    FROM symbols
+    UNION ALL
+    ("""
+    + _cheapest("initial", {s: f"c{s}" for s in range(4)})
+    + r""" way JOIN symbols USING (conv_id)
+        WHERE symbols.k = way.k + 1))),
+plans AS (
+    SELECT conv_id, CAST(left(c0, 10) AS BIGINT) AS cost, substr(c0, 11) AS audit
+    FROM way JOIN (SELECT conv_id, max(n) AS k FROM symbols GROUP BY conv_id) USING (conv_id, k)),
+edits AS (
+    SELECT conv_id, unnest(range(1, len(audit) + 1)) AS j, unnest(string_split(audit, '')) AS edit
+    FROM plans WHERE audit <> ''),
+used AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER o AS i, count(*) FILTER (edit <> 'D') OVER o AS place
+    FROM edits WINDOW o AS (PARTITION BY conv_id ORDER BY j)),
+filled AS (
+    SELECT used.conv_id, j, edit, place, symbols.role, symbols.text,
+        max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY used.conv_id) AS led
+    FROM used LEFT JOIN symbols ON used.conv_id = symbols.conv_id AND used.i = symbols.i AND edit <> 'I'),
+repaired AS (
+    SELECT conv_id, sha256(string_agg(concat(
+        CASE WHEN edit = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END,
+        ':', CASE WHEN edit <> 'I' THEN text END), chr(10) ORDER BY j)) AS digest
+    FROM filled WHERE edit <> 'D' GROUP BY conv_id),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+    coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counted USING (conv_id)
+    LEFT JOIN plans USING (conv_id) LEFT JOIN repaired USING (conv_id)""",
 }
