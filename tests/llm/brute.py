@@ -91,3 +91,107 @@ def backoff(rows, order=3, alpha=0.4, unseen=0.5):
                     score += log(count / past) + log(alpha) * (order - k)
                     break
         yield doc_id, len(w), score
+
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def repeated_lines(rows, min_length=40, min_docs=5):
+    """doc_id, n_lines, n_dropped, digest; a null id is one document, the smallest."""
+    small = (False, 0)
+
+    def rank(doc_id):
+        return small if doc_id is None else (True, doc_id)
+
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(SPACES))
+
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            holders.setdefault(key(line), set()).add(rank(doc_id))
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [
+            line
+            for line in lines
+            if len(key(line)) < min_length
+            or len(holders[key(line)]) < min_docs
+            or max(holders[key(line)]) == rank(doc_id)
+        ]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        yield doc_id, len(lines), len(lines) - len(kept), digest
+
+
+def cheapest_edits(messages, kinds):
+    """Cost, edits and repaired messages: the first complete text, by cost and then by text.
+
+    A heap of (cost, edits so far), so the first that uses up all messages and leaves roles
+    of the grammar is the least of all.
+    """
+    from heapq import heappop, heappush
+
+    heap = [(0, "", 0, "", ())]
+    while True:
+        cost, edits, i, roles, repaired = heappop(heap)
+        if i == len(messages) and (not roles or roles[-1] == "a"):
+            return cost, edits, repaired
+
+        def follow(more, edit, j, role, text):
+            initial = role[:1]
+            if initial and initial in {"": "su", "s": "u", "u": "a", "a": "u"}[roles[-1:]]:
+                heappush(heap, (cost + more, edits + edit, j, roles + initial, (*repaired, f"{role}:{text}")))
+
+        if edits.endswith("III"):  # two already give any role
+            continue
+        for role in ("user", "assistant"):
+            follow(3, "I", i, role, "")
+        if i < len(messages):
+            heappush(heap, (cost + 4, edits + "D", i + 1, roles, repaired))
+            if kinds[i] not in ("blank", "duplicate"):
+                late = 3 if kinds[i] == "truncated" else 0
+                follow(late, "K", i + 1, messages[i][1], messages[i][4])
+                for role in ("user", "assistant"):
+                    follow(3 + late, "R", i + 1, role, messages[i][4])
+
+
+def conversations(rows):
+    """The report of each conversation, its edits by a search of whole edit texts."""
+    from zlib import crc32
+
+    after = {}
+    for conv, turn, role, text in rows:
+        spaced = [" " if x is None else x for x in (conv, turn, role, text)]
+        code = crc32(f"{spaced[0]}:{spaced[1]}".encode()) % 20
+        role = "user" if code == 4 else spaced[2]
+        text = "" if code == 1 else re.sub("[.!?]", "", spaced[3]) if code == 2 else spaced[3]
+        digest = hashlib.md5(text.encode()).digest()
+        messages = after.setdefault(conv, [])
+        copies = 0 if code == 0 else 2 if code == 3 else 1
+        messages += [((turn is not None, turn or 0), role, digest, turn, text)] * copies
+    for conv, messages in after.items():
+        messages.sort(key=lambda m: m[:3])
+        seen, kinds = set(), []
+        for _, role, _, _, text in messages:
+            bare = text.rstrip(SPACES)
+            kinds.append(
+                "blank" if not bare else "duplicate" if (role, text) in seen else
+                "truncated" if bare[-1] not in ".!?" else ""
+            )
+            seen.add((role, text))
+        initials = [m[1][:1] for m in messages]
+
+        cost, audit, repaired = cheapest_edits(messages, kinds)
+        turns = [m[3] for m in messages if m[3] is not None]
+        pairs = [a + b for a, b in zip(initials, initials[1:], strict=False)]
+        yield (
+            conv,
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            kinds.count("blank"),
+            kinds.count("duplicate"),
+            kinds.count("truncated"),
+            sum(p not in ("su", "ua", "au") for p in pairs),
+            cost,
+            audit,
+            hashlib.sha256("\n".join(repaired).encode()).hexdigest(),
+        )
