@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 from helpers import bag, final_plan, orders
@@ -22,11 +23,10 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("path", PATHS)
-@pytest.mark.parametrize("max_hot", [1, 4, 1000])
-def test_equals_plain_anti_join(path, max_hot, skewed):
+def test_equals_plain_anti_join(path, skewed):
     batch, stored = skewed
     plain = batch.join(hashes_of(stored), "row_hash", "left_anti")
-    ours = drop_known_rows(batch, hashes_of(stored), 300, PATHS[path], max_hot)
+    ours = drop_known_rows(batch, hashes_of(stored), 300, PATHS[path])
     columns = sorted(batch.columns)
     expected = bag(plain.select(columns))
     assert expected.total() > 100
@@ -52,29 +52,18 @@ def test_small_batch_shuffles_neither_side(skewed):
     assert plan.count("Exchange hashpartitioning(row_hash") == 1
 
 
-def test_large_batch_reads_the_history_once(skewed, spark, tmp_path):
+def test_large_batch_combines_the_history_before_its_shuffle(skewed, spark, tmp_path):
     batch, stored = skewed
     batch.write.parquet(str(tmp_path / "batch"))
     stored.write.parquet(str(tmp_path / "stored"))
     history = hashes_of(spark.read.parquet(str(tmp_path / "stored")))
     received = spark.read.parquet(str(tmp_path / "batch"))
-    fresh = drop_known_rows(received, history, 300, broadcast_limit=0, max_hot_hashes=4)
-    plan = final_plan(fresh)
-    assert "ReusedExchange" in plan
-    # The batch twice, for its hashes and its rows, and the history once.
-    assert plan.count("FileScan parquet") == 3
-
-
-def test_large_batch_spreads_a_hot_new_hash(spark):
-    hot = with_row_hash(orders(spark, *[{"customer_id": 1}] * 160).repartition(8))
-    known = hashes_of(orders(spark, {"customer_id": 2}))
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        fresh = drop_known_rows(hot, known, 160, broadcast_limit=0, max_hot_hashes=4)
-        sizes = fresh.rdd.glom().map(len).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 160 and max(sizes) <= 80
+    fresh = drop_known_rows(received, history, 300, broadcast_limit=0)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    # The batch and the history are read once each, and each hash is sent once by a task.
+    assert plan.count("FileScan parquet") == 2
+    below = plan[plan.rindex("Exchange") :]
+    assert "HashAggregate(keys=[row_hash" in below
 
 
 def test_drop_copies(skewed, spark):
@@ -82,6 +71,31 @@ def test_drop_copies(skewed, spark):
     assert drop_copies(batch).count() == batch.select("row_hash").distinct().count()
     nulls = with_row_hash(orders(spark, {"age": None}, {"age": None}, {"age": 1}))
     assert drop_copies(nulls).count() == 2
+    assert drop_copies(batch).columns == batch.columns
+    assert drop_copies(batch.limit(0)).count() == 0
+
+
+def test_copies_are_rows_of_one_hash(spark):
+    early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    same = {"size": None, "color": "M", "processed_time": late}  # nulls are left out of the hash
+    rows = with_row_hash(
+        orders(spark, same, {"size": "M", "color": None, "processed_time": early}, {"age": 1})
+    )
+    assert rows.select("row_hash").distinct().count() == 2
+    kept = [r for r in drop_copies(rows).collect() if r.age != 1]
+    # The least row, null before any size.
+    assert [(r["size"], r.color, r.processed_time) for r in kept] == [(None, "M", late)]
+    times = with_row_hash(orders(spark, {"processed_time": late}, {"processed_time": early}))
+    assert [r.processed_time for r in drop_copies(times).collect()] == [early]
+    # And the check against a table agrees with it.
+    assert drop_known_rows(rows, hashes_of(orders(spark, same)), 3).count() == 1
+
+
+def test_copies_are_combined_before_the_shuffle(skewed):
+    batch, _ = skewed
+    plan = drop_copies(batch)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(row_hash") :]
+    assert "partial_min(struct(" in below
 
 
 def test_stored_hashes_are_preferred(spark):

@@ -61,14 +61,13 @@ def test_enrichment_follows_the_rules(spark, changes):
     st.lists(st.integers(0, 6), max_size=40),
     st.sets(st.integers(0, 6)),
     st.sampled_from([0, 1000]),
-    st.integers(1, 5),
 )
-def test_known_rows_are_dropped(spark, batch, known, limit, max_hot):
+def test_known_rows_are_dropped(spark, batch, known, limit):
     received = with_row_hash(orders(spark, {}, *({"customer_id": i} for i in batch))).filter(
         "customer_id < 7"
     )
     stored = hashes_of(orders(spark, {}, *({"customer_id": i} for i in known)))
-    fresh = drop_known_rows(received, stored, max(len(batch), 1), limit, max_hot)
+    fresh = drop_known_rows(received, stored, max(len(batch), 1), limit)
     assert sorted(r.customer_id for r in fresh.collect()) == sorted(
         i for i in batch if i not in known
     )

@@ -63,9 +63,11 @@ def test_folders(spark, tmp_path):
     paths.ensure_folder(spark, str(inbox))
     paths.ensure_folder(spark, str(inbox))
     assert inbox.is_dir() and paths.folder_exists(spark, str(inbox))
-    (inbox / "x.csv").write_text("")
-    (inbox / "_SUCCESS").write_text("")
-    assert paths.count_files(spark, str(inbox)) == 1
+    assert [p.split("/")[-1] for p in paths.matching_folders(spark, f"{tmp_path}/a/in*")] == ["inbox"]
+    assert paths.matching_folders(spark, f"{tmp_path}/b/*") == []
+    paths.delete_folder(spark, str(inbox))
+    paths.delete_folder(spark, str(inbox))
+    assert not inbox.exists()
     paths.ensure_folder(spark, "nosuchscheme://bucket/inbox")
 
 
@@ -99,6 +101,25 @@ def test_table_round_trip(spark, tmp_path, store_hash, cluster):
     assert bag(hashes_of(table.snapshot(spark))) == bag(with_row_hash(rows).select("row_hash"))
 
 
+def test_a_batch_replaces_only_itself(spark, tmp_path):
+    table = OrdersTable(str(tmp_path / "t"))
+    day = lambda d, i: {"processed_time": datetime.datetime(2024, 1, d), "customer_id": i}
+
+    def write(stream, batch, *changes):
+        return table.write_batch(enrich_orders(orders(spark, *changes)), stream, batch)
+
+    assert write("a", 0, day(1, 1), day(1, 1), day(2, 2)) == 3
+    assert write("a", 1, day(1, 3)) == 1
+    assert write("b", 0, day(1, 4)) == 1
+    assert table.append(enrich_orders(orders(spark, day(1, 5)))) == 1
+    # Fewer rows, on another day; then none.
+    assert write("a", 0, day(3, 6)) == 1
+    assert sorted(r.customer_id for r in table.read(spark).collect()) == [3, 4, 5, 6]
+    assert table.write_batch(table.read(spark).limit(0), "a", 0) == 0
+    assert sorted(r.customer_id for r in table.read(spark).collect()) == [3, 4, 5]
+    assert table.batch_rows(spark, "b", 0) == 1 and table.batch_rows(spark, "b", 7) == 0
+
+
 def test_hash_check_reads_one_column(spark, tmp_path):
     table = OrdersTable(str(tmp_path / "t"), store_hash=True)
     table.append(enrich_orders(orders(spark, {})))

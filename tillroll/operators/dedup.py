@@ -1,4 +1,6 @@
-"""Dropping rows whose content hash is already in the target table.
+"""Dropping rows whose content hash is already in the target table, or in the same batch.
+
+Rows are equal if their hashes are; one meaning for both checks.
 
 An anti join can only broadcast its right side, here the whole history. So the small
 side is turned around where its size allows:
@@ -6,18 +8,13 @@ side is turned around where its size allows:
 * up to ``broadcast_limit`` batch rows: the batch hashes are broadcast to one scan of
   the history, the hashes found there (no more than were sent) are broadcast back.
   Neither the history nor the batch is shuffled;
-* beyond that: one shuffled aggregation over the hashes of both sides finds the batch
-  hashes that are stored. Copies collapse before the shuffle, so a hash that fills a
-  third of either side costs no more than any other, and the history is never sorted.
-  The batch rows then meet those hashes in a shuffled anti join. A hash with very many
-  batch copies is hot: its rows are spread over ``SALTS`` parts, and its entry on the
-  other side, one row, is repeated for each.
+* beyond that: a shuffled anti join against the distinct hashes of the history. Copies in
+  the history collapse before the shuffle; a hash with very many copies in the batch is
+  split by adaptive execution.
 
 Both give the rows of a plain anti join, copies included.
 """
 
-from math import ceil
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +23,6 @@ from tillroll.schema import ROW_HASH
 
 #: Hashes that may be broadcast; about 100 bytes each once in a join's hash table.
 BROADCAST_LIMIT = 1_000_000
-#: Largest number of hot hashes; one is hot from (rows / this) copies on.
-MAX_HOT_HASHES = 1_000
-#: Parts the rows of a hot hash are spread over.
-SALTS = 1_000
 
 
 def with_row_hash(df: DataFrame) -> DataFrame:
@@ -51,12 +44,13 @@ def hashes_of(table: DataFrame) -> DataFrame:
 
 
 def drop_copies(df: DataFrame) -> DataFrame:
-    """One row of every group of equal rows, ingest time included.
+    """One row for each ``row_hash``: the least of its rows, column by column, nulls first.
 
-    Over all columns, so that Spark combines copies in a hash table before the shuffle;
-    picking one row per hash would have to sort all rows by it, twice.
+    The least row is an aggregate, so each task keeps one row of a hash before the shuffle,
+    and a hash with a third of all rows costs no more there than any other.
     """
-    return df.distinct()
+    least = F.min(F.struct(*df.columns)).alias("row")
+    return df.groupBy(ROW_HASH).agg(least).select("row.*")
 
 
 def drop_known_rows(
@@ -64,43 +58,14 @@ def drop_known_rows(
     known: DataFrame,
     row_bound: int,
     broadcast_limit: int = BROADCAST_LIMIT,
-    max_hot_hashes: int = MAX_HOT_HASHES,
 ) -> DataFrame:
     """Rows of ``batch`` whose ``row_hash`` is not in ``known``.
 
     ``known`` is a one-column frame of hashes (see ``hashes_of``). ``row_bound`` is the
     number of batch rows, or any upper bound of it; it decides what may be broadcast.
     """
-    if row_bound <= broadcast_limit:
-        return _by_broadcast(batch, known)
-    return _by_shuffle(batch, known, hot_from=ceil(row_bound / max_hot_hashes))
-
-
-def _by_broadcast(batch: DataFrame, known: DataFrame) -> DataFrame:
+    if row_bound > broadcast_limit:
+        return batch.join(known.distinct(), ROW_HASH, "left_anti")
     sent = F.broadcast(batch.select(ROW_HASH))
     hits = known.join(sent, ROW_HASH, "left_semi").distinct()
     return batch.join(F.broadcast(hits), ROW_HASH, "left_anti")
-
-
-def _by_shuffle(batch: DataFrame, known: DataFrame, hot_from: int) -> DataFrame:
-    received = batch.groupBy(ROW_HASH).agg(F.count(F.lit(1)).alias("copies"))
-    # The copies add up to the batch rows, so at most max_hot_hashes hashes get here.
-    hot = received.filter(F.col("copies") >= hot_from).select(ROW_HASH, F.lit(True).alias("_hot"))
-    # The partition number, unlike a row number or a random one, stays the same when a
-    # lost task runs again.
-    part = F.when(F.col("_hot"), F.spark_partition_id() % SALTS).otherwise(0)
-    salted = batch.join(F.broadcast(hot), ROW_HASH, "left").withColumn("_salt", part)
-
-    both = received.withColumn("seen", F.lit(False)).unionAll(
-        known.select(ROW_HASH, F.lit(0).cast("bigint"), F.lit(True))
-    )
-    stored = (
-        both.groupBy(ROW_HASH)
-        .agg(F.sum("copies").alias("copies"), F.max("seen").alias("seen"))
-        .filter(F.col("seen") & (F.col("copies") > 0))
-    )
-    parts = F.when(F.col("copies") >= hot_from, F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    repeated = stored.select(
-        ROW_HASH, F.explode(F.coalesce(parts, F.array(F.lit(0)))).alias("_salt")
-    )
-    return salted.join(repeated, [ROW_HASH, "_salt"], "left_anti").drop("_salt", "_hot")

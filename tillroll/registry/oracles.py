@@ -90,7 +90,10 @@ def _top(key: str, k: int) -> str:
 
 _NEW_ROWS = _orders(f"""SELECT o.{_BUSINESS.replace(", ", ", o.").replace("    ", "    o.")},
   o.processed_time
-FROM (SELECT *, {_HASH} AS h FROM shop_orders) o
+FROM (
+  SELECT *, {_HASH} AS h, unnest(range(CASE WHEN age < 30 THEN 2 ELSE 1 END)) AS copy
+  FROM shop_orders
+) o
 WHERE NOT EXISTS (
   SELECT 1 FROM (
     SELECT {_HASH} AS h FROM shop_orders WHERE previous_purchases < 8
@@ -211,7 +214,15 @@ FROM (
     "row_hash": _orders(f"SELECT {_HASH} AS row_hash, {_BUSINESS} FROM shop_orders"),
     "dedup_against_table": _NEW_ROWS,
     "dedup_by_shuffle": _NEW_ROWS,
-    "dedup_within_batch": _orders(f"SELECT DISTINCT {_BUSINESS} FROM shop_orders"),
+    "dedup_within_batch": _orders(f"""SELECT {_BUSINESS}, processed_time
+FROM (
+  SELECT *, unnest(range(CASE WHEN customer_id % 3 = 0 THEN 2 ELSE 1 END)) AS copy
+  FROM shop_orders
+  UNION ALL
+  SELECT * REPLACE (processed_time + INTERVAL 1 HOUR AS processed_time), 2 FROM shop_orders
+  WHERE age < 30
+)
+QUALIFY row_number() OVER (PARTITION BY {_HASH} ORDER BY processed_time, copy) = 1"""),
     "stream_ingest": _enriched(f"SELECT DISTINCT {_BUSINESS}, {_COMPUTED} FROM enriched"),
     "ingest_metrics": _orders(f"""SELECT CAST(sum(n) AS BIGINT) AS received, count(*) AS new_rows,
   CAST(sum(n) - count(*) AS BIGINT) AS duplicates
@@ -220,4 +231,11 @@ FROM (SELECT {_HASH} AS h, count(*) AS n FROM shop_orders GROUP BY 1)"""),
         "SELECT count(*) AS received, CAST(0 AS BIGINT) AS new_rows, count(*) AS duplicates\n"
         "FROM shop_orders"
     ),
+    "replayed_batch": _orders(
+        f"SELECT {_BUSINESS} FROM shop_orders\nUNION ALL SELECT {_BUSINESS} FROM shop_orders"
+    ),
+    "replay_metrics": _orders(
+        "SELECT 2 * count(*) AS received, 2 * count(*) AS new_rows, CAST(0 AS BIGINT) AS duplicates\n"
+        "FROM shop_orders"
+    ),
 }

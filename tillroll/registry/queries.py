@@ -5,8 +5,8 @@ Each callable takes (spark, sf_dir) and works on the whole tables.
 
 from collections.abc import Callable
 from functools import partial
-from math import ceil
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +25,6 @@ from tillroll.plans import reports, views
 from tillroll.registry.adapter import row_bound, shop_orders
 from tillroll.schema import ALIGNED_COLUMNS, BUSINESS_COLUMNS, PROCESSED_TIME, RAW_COLUMNS
 from tillroll.sources.orders_csv import (
-    ROWS_PER_FILE,
     read_orders_csv,
     split_report,
     split_to_csv,
@@ -39,9 +38,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Purchases below which a row belongs to the table that batches are checked against.
 PRELOADED_BELOW = 8
-#: Files the split and the stream query aim at.
-SPLIT_FILES = 400
-STREAM_FILES = 40
+#: Rows of the files in the inboxes of the stream queries, even so that a pair of copies
+#: written next to each other shares a file and thus a batch.
+INBOX_ROWS_PER_FILE = 5_000
+#: Rows of the files of the split query.
+SPLIT_ROWS_PER_FILE = 500
 
 #: What each computed column depends on, shown next to it.
 COLUMN_INPUTS = {
@@ -96,15 +97,13 @@ def align_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound = row_bound(spark, sf_dir)
-    rows_per_file = max(ROWS_PER_FILE, ceil(bound / SPLIT_FILES))
     folder = f"{new_shared_folder(spark, 'split')}/inbox"
-    split_to_csv(raw_orders(spark, sf_dir), folder, rows_per_file)
+    split_to_csv(raw_orders(spark, sf_dir), folder, SPLIT_ROWS_PER_FILE)
     totals = split_totals(split_report(read_orders_csv(spark, folder)))
     return totals.select(
         "total_rows",
-        (F.col("largest_file") <= rows_per_file).alias("within_limit"),
-        (F.col("files") * rows_per_file >= F.col("total_rows")).alias("enough_files"),
+        (F.col("largest_file") <= SPLIT_ROWS_PER_FILE).alias("within_limit"),
+        (F.col("files") * SPLIT_ROWS_PER_FILE >= F.col("total_rows")).alias("enough_files"),
     )
 
 
@@ -132,32 +131,61 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_row_hash(shop_orders(spark, sf_dir)).select("row_hash", *BUSINESS_COLUMNS)
 
 
+def with_copies(orders: DataFrame, copied: str) -> DataFrame:
+    """The orders, each that fulfils ``copied`` twice; the two are neighbours."""
+    times = F.when(F.expr(copied), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return orders.withColumn("_copy", F.explode(times)).drop("_copy")
+
+
 def _against_table(spark: SparkSession, sf_dir: str, broadcast_limit: int) -> DataFrame:
-    batch = with_row_hash(shop_orders(spark, sf_dir))
-    stored = shop_orders(spark, sf_dir).filter(F.col("previous_purchases") < PRELOADED_BELOW)
-    bound = row_bound(spark, sf_dir)
+    """New rows, copies kept, of a batch that holds some orders twice."""
+    orders = shop_orders(spark, sf_dir)
+    batch = with_row_hash(with_copies(orders, "age < 30"))
+    stored = orders.filter(F.col("previous_purchases") < PRELOADED_BELOW)
+    bound = 2 * row_bound(spark, sf_dir)
     fresh = drop_known_rows(batch, hashes_of(stored), bound, broadcast_limit)
     return fresh.select(*ALIGNED_COLUMNS)
 
 
 def dedup_within_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The time is left out: here, unlike in a batch, it differs between copies.
-    return drop_copies(shop_orders(spark, sf_dir).drop(PROCESSED_TIME))
+    """Orders of which some came twice, some of those at another time."""
+    orders = shop_orders(spark, sf_dir)
+    later = F.col(PROCESSED_TIME) + F.expr("INTERVAL 1 HOUR")
+    again = orders.filter("age < 30").withColumn(PROCESSED_TIME, later)
+    batch = with_copies(orders, "customer_id % 3 = 0").unionAll(again)
+    return drop_copies(with_row_hash(batch)).select(*ALIGNED_COLUMNS)
 
 
 # --- streaming -------------------------------------------------------------------
 
 
+class Interrupted(Exception):
+    pass
+
+
+class FailsAfterWriting(Ingest):
+    """An ingest that breaks off once its first batch is written but not yet committed."""
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        super().handle(batch, batch_id)
+        raise Interrupted(f"batch {batch_id}")
+
+
+def _inbox(spark: SparkSession, sf_dir: str, copied: str = "false") -> tuple[str, str]:
+    """A fresh folder, and an inbox in it with all orders, some of them twice."""
+    base = new_shared_folder(spark, "ingest")
+    orders = with_copies(raw_orders(spark, sf_dir), copied)
+    split_to_csv(orders, f"{base}/inbox", INBOX_ROWS_PER_FILE)
+    return base, f"{base}/inbox"
+
+
 def _run_stream(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> tuple[OrdersTable, str]:
     """Write all orders to an inbox and drain it into a fresh table.
 
-    A second delivery reads the same inbox from a checkpoint of its own. The metrics are
-    those of the last one.
+    A second delivery reads the same inbox from a checkpoint of its own, so as another
+    stream. The metrics are those of the last one.
     """
-    base = new_shared_folder(spark, "ingest")
-    inbox = f"{base}/inbox"
-    rows_per_file = max(ROWS_PER_FILE, ceil(row_bound(spark, sf_dir) / STREAM_FILES))
-    split_to_csv(raw_orders(spark, sf_dir), inbox, rows_per_file)
+    base, inbox = _inbox(spark, sf_dir)
     table = OrdersTable(f"{base}/orders", store_hash=True)
     for delivery in range(deliveries):
         metrics, checkpoint = f"{base}/metrics-{delivery}", f"{base}/checkpoint-{delivery}"
@@ -174,13 +202,46 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_metrics(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> DataFrame:
     _, metrics = _run_stream(spark, sf_dir, deliveries)
-    return read_metrics(spark, metrics).agg(
+    return _totals(read_metrics(spark, metrics))
+
+
+def _totals(metrics: DataFrame) -> DataFrame:
+    return metrics.agg(
         F.sum("received").alias("received"),
         F.sum("new_rows").alias("new_rows"),
         F.sum("duplicates").alias("duplicates"),
     )
 
 
+def _run_with_replay(spark: SparkSession, sf_dir: str) -> tuple[OrdersTable, str]:
+    """Every order twice in its batch; the first batch breaks off after its write.
+
+    The restarted stream delivers it again, then the others. Copies in a batch are kept.
+    """
+    base, inbox = _inbox(spark, sf_dir, copied="true")
+    table = OrdersTable(f"{base}/orders", store_hash=True)
+    metrics, checkpoint = f"{base}/metrics", f"{base}/checkpoint"
+    failing = FailsAfterWriting(table, metrics_path=metrics)
+    try:
+        start_ingest(spark, inbox, checkpoint, failing, drain=True).awaitTermination()
+    except StreamingQueryException as failure:
+        if "Interrupted" not in str(failure):
+            raise
+    ingest = Ingest(table, metrics_path=metrics)
+    start_ingest(spark, inbox, checkpoint, ingest, drain=True).awaitTermination()
+    return table, metrics
+
+
+def replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, _ = _run_with_replay(spark, sf_dir)
+    return table.read(spark).select(*BUSINESS_COLUMNS)
+
+
+def replay_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, metrics = _run_with_replay(spark, sf_dir)
+    return _totals(read_metrics(spark, metrics))
+
+
 # --- ranking ---------------------------------------------------------------------
 
 
@@ -247,4 +308,6 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "ingest_metrics": ingest_metrics,
     "redelivery_metrics": partial(ingest_metrics, deliveries=2),
+    "replayed_batch": replayed_batch,
+    "replay_metrics": replay_metrics,
 }

@@ -6,6 +6,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -65,6 +66,9 @@ PROCESSED_TIME = "processed_time"
 #: Day the row was ingested, the partition column of the stored table.
 PROCESSED_DATE = "processed_date"
 ROW_HASH = "row_hash"
+#: The stream and the micro-batch that wrote a row; partition columns too.
+STREAM_ID = "stream_id"
+BATCH_ID = "batch_id"
 
 ALIGNED_COLUMNS: dict[str, DataType] = BUSINESS_COLUMNS | {PROCESSED_TIME: TimestampType()}
 
@@ -73,5 +77,7 @@ ALIGNED_SCHEMA = _struct(ALIGNED_COLUMNS)
 TABLE_SCHEMA = _struct(ALIGNED_COLUMNS | COMPUTED_COLUMNS)
 #: What lies in the files of a stored table: the table plus its helper columns.
 STORED_SCHEMA = _struct(
-    ALIGNED_COLUMNS | COMPUTED_COLUMNS | {ROW_HASH: _STRING, PROCESSED_DATE: DateType()}
+    ALIGNED_COLUMNS
+    | COMPUTED_COLUMNS
+    | {ROW_HASH: _STRING, PROCESSED_DATE: DateType(), STREAM_ID: _STRING, BATCH_ID: LongType()}
 )

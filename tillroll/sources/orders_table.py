@@ -9,12 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.functions.orders import row_hash
-from tillroll.schema import PROCESSED_DATE, PROCESSED_TIME, ROW_HASH, STORED_SCHEMA, TABLE_SCHEMA
-from tillroll.sources.paths import folder_exists
+from tillroll.schema import (
+    BATCH_ID,
+    PROCESSED_DATE,
+    PROCESSED_TIME,
+    ROW_HASH,
+    STORED_SCHEMA,
+    STREAM_ID,
+    TABLE_SCHEMA,
+)
+from tillroll.sources.paths import delete_folder, folder_exists, matching_folders
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json"})
 _ABSENT = frozenset({"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"})
 CLUSTER_COLUMNS = ("category", "location")
+#: Folders of a file table: day, then the stream and batch that wrote the rows.
+PARTITIONS = (PROCESSED_DATE, STREAM_ID, BATCH_ID)
+#: Stream of rows that no stream wrote.
+LOADED = "loaded"
 
 
 @dataclass(frozen=True)
@@ -77,26 +89,64 @@ class OrdersTable:
         Files go to one folder per ingest day; an append of no rows writes no file. The
         rows are persisted, counted and written, so they are computed once.
         """
-        if self.store_hash and ROW_HASH not in rows.columns:
-            rows = rows.withColumn(ROW_HASH, row_hash())
-        elif not self.store_hash:
-            rows = rows.drop(ROW_HASH)
-        if self.is_files:
-            rows = rows.withColumn(PROCESSED_DATE, F.to_date(PROCESSED_TIME))
-        if self.cluster:
-            rows = self._clustered(rows)
-        rows = rows.persist()
+        rows = self._laid_out(rows, LOADED, 0).persist()
         try:
             count = rows.count()
-            writer = rows.write.format(self.format).mode("append")
-            if self.is_files:
-                writer.options(**self.options).partitionBy(PROCESSED_DATE).save(self.location)
-            else:
-                writer.options(**self._connector()).save()
+            self._write(rows)
         finally:
             rows.unpersist()
         return count
 
+    def write_batch(self, rows: DataFrame, stream_id: str, batch_id: int) -> int:
+        """Make ``rows`` all the rows of a stream's batch, and return how many they are.
+
+        A batch has folders of its own, so one that is delivered again after a failure first
+        removes what the earlier attempt left, all of it or a part, on whatever day. ``rows``
+        must not be read from there. The rows are counted in the files written. A connector
+        has no such folders: there the rows are appended.
+        """
+        if not self.is_files:
+            return self.append(rows)
+        spark = rows.sparkSession
+        for folder in self._batch_folders(spark, stream_id, batch_id):
+            delete_folder(spark, folder)
+        self._write(self._laid_out(rows, stream_id, batch_id))
+        return self.batch_rows(spark, stream_id, batch_id)
+
+    def batch_rows(self, spark: SparkSession, stream_id: str, batch_id: int) -> int:
+        """Stored rows of one batch, by the footers of its files."""
+        folders = self._batch_folders(spark, stream_id, batch_id)
+        if not folders:
+            return 0
+        files = spark.read.format(self.format).options(**self.options)
+        return files.schema(self._file_schema()).load(folders).count()
+
+    def _batch_folders(self, spark: SparkSession, stream_id: str, batch_id: int) -> list[str]:
+        own = f"{STREAM_ID}={stream_id}/{BATCH_ID}={batch_id}"
+        return matching_folders(spark, f"{self.location.rstrip('/')}/{PROCESSED_DATE}=*/{own}")
+
+    def _laid_out(self, rows: DataFrame, stream_id: str, batch_id: int) -> DataFrame:
+        if self.store_hash and ROW_HASH not in rows.columns:
+            rows = rows.withColumn(ROW_HASH, row_hash())
+        elif not self.store_hash:
+            rows = rows.drop(ROW_HASH)
+        if self.is_files:
+            rows = rows.withColumns(
+                {
+                    PROCESSED_DATE: F.to_date(PROCESSED_TIME),
+                    STREAM_ID: F.lit(stream_id),
+                    BATCH_ID: F.lit(batch_id).cast("long"),
+                }
+            )
+        return self._clustered(rows) if self.cluster else rows
+
+    def _write(self, rows: DataFrame) -> None:
+        writer = rows.write.format(self.format).mode("append")
+        if self.is_files:
+            writer.options(**self.options).partitionBy(*PARTITIONS).save(self.location)
+        else:
+            writer.options(**self._connector()).save()
+
     def _clustered(self, rows: DataFrame) -> DataFrame:
         # A rebalance, unlike a plain repartition, splits a day or category that is too
         # large for one task and merges small ones.

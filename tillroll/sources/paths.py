@@ -31,11 +31,16 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Visible files directly in a folder."""
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*`` for any one name."""
+    hadoop_path, fs = _path_and_fs(spark, pattern)
+    return [str(status.getPath()) for status in fs.globStatus(hadoop_path) or ()]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path_and_fs(spark, path)
-    names = (status.getPath().getName() for status in fs.listStatus(hadoop_path))
-    return sum(not name.startswith(("_", ".")) for name in names)
+    if not fs.delete(hadoop_path, True) and fs.exists(hadoop_path):
+        raise OSError(f"could not delete {path}")
 
 
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:

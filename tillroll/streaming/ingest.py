@@ -1,10 +1,11 @@
 """Micro-batch ingest: stamp, align, enrich, drop known rows, append.
 
-A batch that fails stays uncommitted and is delivered again. If it failed after the
-append, its rows are found in the table by their hash and are not written twice. For
-the same reason an equal row in a later batch is dropped even if it is a real repeat
-purchase: the hash holds no order number and no time. Copies inside one batch are all
-kept unless ``drop_batch_copies`` is set.
+A batch that fails stays uncommitted and is delivered again. It is then checked against the
+rows of all other batches and replaces what its earlier attempt wrote, copies included, so a
+table of files and the metrics come out as from one delivery. In a connector's table its
+rows are found by their hash and are not written twice. An equal row in a later batch is
+dropped even if it is a real repeat purchase: the hash holds no order number and no time.
+Copies inside one batch are all kept unless ``drop_batch_copies`` is set.
 """
 
 import logging
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillroll.operators.align import align_orders
 from tillroll.operators.dedup import (
@@ -24,7 +25,7 @@ from tillroll.operators.dedup import (
     with_row_hash,
 )
 from tillroll.operators.enrich import enrich_orders
-from tillroll.schema import PROCESSED_TIME
+from tillroll.schema import BATCH_ID, PROCESSED_TIME, STREAM_ID
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER, stream_orders_csv
 from tillroll.sources.orders_table import OrdersTable
 from tillroll.sources.paths import ensure_folder
@@ -34,8 +35,12 @@ log = logging.getLogger(__name__)
 #: Fixed value: pause between micro-batches.
 TRIGGER_INTERVAL = "15 seconds"
 
+#: Spark's own name for the id that a query keeps in its checkpoint.
+QUERY_ID = "sql.streaming.queryId"
+
 METRICS_SCHEMA = StructType(
-    [StructField(n, LongType()) for n in ("batch_id", "received", "new_rows", "duplicates")]
+    [StructField(STREAM_ID, StringType())]
+    + [StructField(n, LongType()) for n in (BATCH_ID, "received", "new_rows", "duplicates")]
 )
 
 
@@ -56,46 +61,53 @@ class BatchMetrics:
 class Ingest:
     """How a batch is checked and where it goes.
 
-    ``metrics_path`` collects one row per batch; a batch delivered again replaces its
-    row.
+    ``metrics_path`` collects one row per stream and batch; a batch delivered again replaces
+    its row. ``stream_id`` tells streams apart; left out, it is the id that the stream keeps
+    in its checkpoint, which stays the same over restarts.
     """
 
     table: OrdersTable
     metrics_path: str | None = None
     drop_batch_copies: bool = False
     broadcast_limit: int = BROADCAST_LIMIT
+    stream_id: str | None = None
 
     def handle(self, batch: DataFrame, batch_id: int) -> BatchMetrics:
         """Append the rows of an enriched batch that the table does not have yet."""
         spark = batch.sparkSession
+        stream = self.stream_id or spark.sparkContext.getLocalProperty(QUERY_ID) or "direct"
         hashed = with_row_hash(batch).persist()
         try:
             received = hashed.count()
-            new_rows = self._append_new(spark, hashed, received) if received else 0
+            new_rows = self._write_new(hashed, received, stream, batch_id) if received else 0
         finally:
             hashed.unpersist()
         metrics = BatchMetrics(batch_id, received, new_rows)
         log.info("%s, %s duplicates", metrics, metrics.duplicates)
         if self.metrics_path:
-            self._record(spark, metrics)
+            self._record(spark, stream, metrics)
         return metrics
 
-    def _append_new(self, spark: SparkSession, hashed: DataFrame, received: int) -> int:
+    def _write_new(self, hashed: DataFrame, received: int, stream: str, batch_id: int) -> int:
         rows = hashed
-        stored = self.table.snapshot(spark)
+        stored = self.table.snapshot(hashed.sparkSession)
         if stored is not None:
+            if self.table.is_files:  # a partition filter: folders of this batch are not read
+                own = (F.col(STREAM_ID) == stream) & (F.col(BATCH_ID) == batch_id)
+                stored = stored.where(~own)
             rows = drop_known_rows(rows, hashes_of(stored), received, self.broadcast_limit)
         if self.drop_batch_copies:
             rows = drop_copies(rows)
-        return self.table.append(rows)
+        return self.table.write_batch(rows, stream, batch_id)
 
-    def _record(self, spark: SparkSession, metrics: BatchMetrics) -> None:
+    def _record(self, spark: SparkSession, stream: str, metrics: BatchMetrics) -> None:
         row = spark.range(1).select(
             F.lit(metrics.received).cast("long").alias("received"),
             F.lit(metrics.new_rows).cast("long").alias("new_rows"),
             F.lit(metrics.duplicates).cast("long").alias("duplicates"),
         )
-        row.write.mode("overwrite").parquet(f"{self.metrics_path}/batch_id={metrics.batch_id}")
+        own = f"{STREAM_ID}={stream}/{BATCH_ID}={metrics.batch_id}"
+        row.write.mode("overwrite").parquet(f"{self.metrics_path}/{own}")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
