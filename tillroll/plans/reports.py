@@ -1,26 +1,16 @@
 """Customer-value and satisfaction reports over an enriched orders table."""
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.operators.averages import averages
+
 # What the reports look for.
 HIGH_CLV_ABOVE = 500
 POTENTIAL_BELOW_PURCHASES = 3
 POTENTIAL_ABOVE_AMOUNT = 200
 
 
-def exact_average(value: Column) -> Column:
-    """Average of amounts by their exact sum, to the millionth.
-
-    A sum of doubles depends on the order in which tasks finish, in its last digits; this
-    one comes out the same from every run. It fails on NaN, which ``F.avg`` passes on.
-    """
-    total = F.sum(value.cast("decimal(18,6)")).cast("double")
-    return F.try_divide(total, F.count(value))
-
-
 def _highest_first(rows: DataFrame, column: str) -> DataFrame:
     """Sort downwards by one column, unknown values last.
 
@@ -71,20 +61,14 @@ def high_clv(orders: DataFrame) -> DataFrame:
     return _highest_first(rows, "estimated_clv")
 
 
-def clv_by_segment(
-    orders: DataFrame, average: Callable[[Column], Column] = F.avg
-) -> DataFrame:
-    clv = F.col("estimated_clv")
-    return (
-        orders.groupBy("customer_segment")
-        .agg(
-            average(clv).alias("avg_clv"),
-            F.max(clv).alias("max_clv"),
-            F.min(clv).alias("min_clv"),
-            F.count(F.lit(1)).alias("count"),
-        )
-        .orderBy(F.desc("avg_clv"))
-    )
+def clv_by_segment(orders: DataFrame) -> DataFrame:
+    others = {
+        "max_clv": (F.max, F.max, "estimated_clv"),
+        "min_clv": (F.min, F.min, "estimated_clv"),
+        "count": (lambda _: F.count(F.lit(1)), F.sum, "*"),
+    }
+    found = averages(orders, ["customer_segment"], "estimated_clv", "avg_clv", others)
+    return found.orderBy(F.desc("avg_clv"))
 
 
 def high_potential(orders: DataFrame) -> DataFrame:
@@ -96,8 +80,12 @@ def high_potential(orders: DataFrame) -> DataFrame:
     return _highest_first(rows, "estimated_clv")
 
 
-def clv_trend(orders: DataFrame, average: Callable[[Column], Column] = F.avg) -> DataFrame:
+def clv_trend(orders: DataFrame) -> DataFrame:
     """Average customer value of each segment, day by day."""
-    return orders.groupBy(F.to_date("processed_time").alias("day"), "customer_segment").agg(
-        average(F.col("estimated_clv")).alias("avg_clv"), F.count(F.lit(1)).alias("orders")
+    return averages(
+        orders.withColumn("day", F.to_date("processed_time")),
+        ["day", "customer_segment"],
+        "estimated_clv",
+        "avg_clv",
+        {"orders": (lambda _: F.count(F.lit(1)), F.sum, "*")},
     )

@@ -113,9 +113,33 @@ _COLUMN_SQL = {
     "loyalty_score": "subscription_status, previous_purchases, loyalty_score",
 }
 
-_EXACT_AVERAGE = (
-    "CAST(sum(CAST(estimated_clv AS DECIMAL(18, 6))) AS DOUBLE) / count(estimated_clv)"
+
+
+def _clv_averages(keys: str, names: str, others: str) -> str:
+    """Averages by exact sums: whole mantissas of each power of two, added from the least up."""
+    return f"""{_WITH_ENRICHED},
+guessed AS (
+  SELECT *, floor(log2(nullif(abs(estimated_clv), 0))) - 52 AS guess FROM enriched
+),
+scaled AS (SELECT *, estimated_clv * pow(CAST(2 AS DOUBLE), -guess) AS m FROM guessed),
+units AS (
+  SELECT *,
+    CASE WHEN abs(m) >= 9007199254740992 THEN guess + 1
+      WHEN abs(m) < 4503599627370496 THEN guess - 1 ELSE coalesce(guess, 0) END AS power,
+    CAST(CASE WHEN abs(m) >= 9007199254740992 THEN m / 2 WHEN abs(m) < 4503599627370496 THEN m * 2
+      WHEN estimated_clv = 0 THEN 0 ELSE m END AS HUGEINT) AS mantissa
+  FROM scaled
+),
+parts AS (
+  SELECT {keys}, power, sum(mantissa) AS s, count(estimated_clv) AS n, count(*) AS orders,
+    max(estimated_clv) AS high, min(estimated_clv) AS low
+  FROM units GROUP BY ALL
 )
+SELECT {names}, {others}, list_reduce(
+    list(CAST(s AS DOUBLE) * pow(CAST(2 AS DOUBLE), power) ORDER BY power) FILTER (s IS NOT NULL),
+    lambda a, b: a + b) / nullif(sum(n), 0) AS avg_clv
+FROM parts GROUP BY {names}"""
+
 
 _EVOLUTION_GROUP = """location, category, amount_category, customer_segment,
   count(*) AS orders, sum(purchase_amount_usd) AS spend, count(estimated_clv) AS known_clv"""
@@ -148,17 +172,20 @@ FROM enriched GROUP BY 1, 2 ORDER BY customer_segment, avg_rating DESC"""),
     "high_clv": _enriched("""SELECT customer_id, customer_segment, estimated_clv,
   final_amount_usd
 FROM enriched WHERE estimated_clv > 500 ORDER BY estimated_clv DESC"""),
-    "clv_by_segment": _enriched(f"""SELECT customer_segment,
-  {_EXACT_AVERAGE} AS avg_clv, max(estimated_clv) AS max_clv,
-  min(estimated_clv) AS min_clv, count(*) AS count
-FROM enriched GROUP BY customer_segment ORDER BY avg_clv DESC"""),
+    "clv_by_segment": _clv_averages(
+        "customer_segment",
+        "customer_segment",
+        "max(high) AS max_clv, min(low) AS min_clv, CAST(sum(orders) AS BIGINT) AS count",
+    ),
     "high_potential": _enriched("""SELECT customer_id, previous_purchases, final_amount_usd,
   estimated_clv
 FROM enriched WHERE previous_purchases < 3 AND final_amount_usd > 200
 ORDER BY estimated_clv DESC"""),
-    "clv_trend": _enriched(f"""SELECT CAST(processed_time AS DATE) AS day, customer_segment,
-  {_EXACT_AVERAGE} AS avg_clv, count(*) AS orders
-FROM enriched GROUP BY 1, 2"""),
+    "clv_trend": _clv_averages(
+        "CAST(processed_time AS DATE) AS day, customer_segment",
+        "day, customer_segment",
+        "CAST(sum(orders) AS BIGINT) AS orders",
+    ),
     "enrich_orders": _enriched(
         f"SELECT {_BUSINESS}, processed_time, {_COMPUTED} FROM enriched"
     ),

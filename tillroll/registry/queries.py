@@ -267,11 +267,9 @@ QUERIES: dict[str, Query] = {
     "anomalies": _over_enriched(reports.anomalies),
     "satisfaction_by_segment": _over_enriched(reports.satisfaction_by_segment),
     "high_clv": _over_enriched(reports.high_clv),
-    "clv_by_segment": _over_enriched(
-        partial(reports.clv_by_segment, average=reports.exact_average)
-    ),
+    "clv_by_segment": _over_enriched(reports.clv_by_segment),
     "high_potential": _over_enriched(reports.high_potential),
-    "clv_trend": _over_enriched(partial(reports.clv_trend, average=reports.exact_average)),
+    "clv_trend": _over_enriched(reports.clv_trend),
     "enrich_orders": enriched,
     **{f"enrich_{name}": _computed(name) for name in COLUMN_INPUTS},
     "clv_extended": _over_enriched(
