@@ -225,6 +225,16 @@ def test_job_runs_from_its_arguments(pipeline, flags):
     assert (pipeline.base / "checkpoint" / "streaming" / "commits").is_dir()
 
 
+def test_job_switches(pipeline):
+    pipeline.deliver("first", *ids(1, 2, 2))
+    table, index = pipeline.ingest.table.location, pipeline.base / "hashes"
+    switches = ["--cluster", "--drop-batch-copies", "--index", str(index), "--metrics", pipeline.metrics]
+    main(["project", pipeline.inbox, table, pipeline.checkpoint, "--drain", *switches])
+    assert sorted(r.customer_id for r in pipeline.rows().collect()) == [1, 2]
+    assert pipeline.totals() == [(3, 2, 1)]
+    assert list(index.glob("recent/*/batch_id=0/*.parquet"))
+
+
 def test_settings_fall_back_in_order(spark, monkeypatch):
     for name in SETTINGS:
         monkeypatch.delenv(name, raising=False)

@@ -241,6 +241,7 @@ FROM (
     "row_hash": _orders(f"SELECT {_HASH} AS row_hash, {_BUSINESS} FROM shop_orders"),
     "dedup_against_table": _NEW_ROWS,
     "dedup_by_shuffle": _NEW_ROWS,
+    "dedup_against_index": _NEW_ROWS,
     "dedup_within_batch": _orders(f"""SELECT {_BUSINESS}, processed_time
 FROM (
   SELECT *, unnest(range(CASE WHEN customer_id % 3 = 0 THEN 2 ELSE 1 END)) AS copy

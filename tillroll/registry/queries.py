@@ -24,6 +24,7 @@ from tillroll.operators.ranking import attach_to_groups, rank_items, top_items
 from tillroll.plans import reports, views
 from tillroll.registry.adapter import row_bound, shop_orders
 from tillroll.schema import ALIGNED_COLUMNS, BUSINESS_COLUMNS, PROCESSED_TIME, RAW_COLUMNS
+from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import (
     read_orders_csv,
     split_report,
@@ -147,6 +148,20 @@ def _against_table(spark: SparkSession, sf_dir: str, broadcast_limit: int) -> Da
     return fresh.select(*ALIGNED_COLUMNS)
 
 
+def dedup_against_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, against an index of the stored hashes: a settled part and a recent batch."""
+    orders = shop_orders(spark, sf_dir)
+    batch = with_row_hash(with_copies(orders, "age < 30"))
+    stored = with_row_hash(orders.filter(F.col("previous_purchases") < PRELOADED_BELOW))
+    settled = F.col("customer_id") % 5 > 0
+    index = HashIndex(f"{new_shared_folder(spark, 'hashes')}/index")
+    index.rebuild(stored.filter(settled))
+    index.put_batch(stored.filter(~settled), "other", 0)
+    bound = 2 * row_bound(spark, sf_dir)
+    known = index.candidates(batch, bound, "own", 0)
+    return drop_known_rows(batch, known, bound).select(*ALIGNED_COLUMNS)
+
+
 def dedup_within_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of which some came twice, some of those at another time."""
     orders = shop_orders(spark, sf_dir)
@@ -302,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "row_hash": row_hash,
     "dedup_against_table": partial(_against_table, broadcast_limit=BROADCAST_LIMIT),
     "dedup_by_shuffle": partial(_against_table, broadcast_limit=0),
+    "dedup_against_index": dedup_against_index,
     "dedup_within_batch": dedup_within_batch,
     "stream_ingest": stream_ingest,
     "ingest_metrics": ingest_metrics,

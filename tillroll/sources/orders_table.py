@@ -121,6 +121,15 @@ class OrdersTable:
         files = spark.read.format(self.format).options(**self.options)
         return files.schema(self._file_schema()).load(folders).count()
 
+    def batch_hashes(self, spark: SparkSession, stream_id: str, batch_id: int) -> DataFrame:
+        """The hashes of one batch, read from its folders."""
+        folders = self._batch_folders(spark, stream_id, batch_id)
+        if not folders:
+            return spark.createDataFrame([], f"{ROW_HASH} string")
+        files = spark.read.format(self.format).options(**self.options).schema(self._file_schema())
+        rows = files.load(folders)
+        return rows.select(ROW_HASH if self.store_hash else row_hash().alias(ROW_HASH))
+
     def _batch_folders(self, spark: SparkSession, stream_id: str, batch_id: int) -> list[str]:
         own = f"{STREAM_ID}={stream_id}/{BATCH_ID}={batch_id}"
         return matching_folders(spark, f"{self.location.rstrip('/')}/{PROCESSED_DATE}=*/{own}")

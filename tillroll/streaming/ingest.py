@@ -26,6 +26,7 @@ from tillroll.operators.dedup import (
 )
 from tillroll.operators.enrich import enrich_orders
 from tillroll.schema import BATCH_ID, PROCESSED_TIME, STREAM_ID
+from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER, stream_orders_csv
 from tillroll.sources.orders_table import OrdersTable
 from tillroll.sources.paths import ensure_folder
@@ -63,7 +64,9 @@ class Ingest:
 
     ``metrics_path`` collects one row per stream and batch; a batch delivered again replaces
     its row. ``stream_id`` tells streams apart; left out, it is the id that the stream keeps
-    in its checkpoint, which stays the same over restarts.
+    in its checkpoint, which stays the same over restarts. With an ``index`` a batch is
+    checked against that, and not against the table; it must hold the table's hashes
+    (``HashIndex.rebuild``) if rows were written without it.
     """
 
     table: OrdersTable
@@ -71,6 +74,7 @@ class Ingest:
     drop_batch_copies: bool = False
     broadcast_limit: int = BROADCAST_LIMIT
     stream_id: str | None = None
+    index: HashIndex | None = None
 
     def handle(self, batch: DataFrame, batch_id: int) -> BatchMetrics:
         """Append the rows of an enriched batch that the table does not have yet."""
@@ -89,16 +93,21 @@ class Ingest:
         return metrics
 
     def _write_new(self, hashed: DataFrame, received: int, stream: str, batch_id: int) -> int:
-        rows = hashed
-        stored = self.table.snapshot(hashed.sparkSession)
-        if stored is not None:
+        rows, spark = hashed, hashed.sparkSession
+        if self.index:
+            known = self.index.candidates(hashed, received, stream, batch_id)
+            rows = drop_known_rows(rows, known, received, self.broadcast_limit)
+        elif (stored := self.table.snapshot(spark)) is not None:
             if self.table.is_files:  # a partition filter: folders of this batch are not read
                 own = (F.col(STREAM_ID) == stream) & (F.col(BATCH_ID) == batch_id)
                 stored = stored.where(~own)
             rows = drop_known_rows(rows, hashes_of(stored), received, self.broadcast_limit)
         if self.drop_batch_copies:
             rows = drop_copies(rows)
-        return self.table.write_batch(rows, stream, batch_id)
+        new_rows = self.table.write_batch(rows, stream, batch_id)
+        if self.index:
+            self.index.put_batch(self.table.batch_hashes(spark, stream, batch_id), stream, batch_id)
+        return new_rows
 
     def _record(self, spark: SparkSession, stream: str, metrics: BatchMetrics) -> None:
         row = spark.range(1).select(

@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER
 from tillroll.sources.orders_table import FILE_FORMATS, OrdersTable, staged_connector_options
 from tillroll.streaming.ingest import Ingest, start_ingest
@@ -15,6 +16,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("settings", nargs="*", help="project, inbox, table, checkpoint")
     parser.add_argument("--format", default="parquet", help="format of the target table")
     parser.add_argument("--store-hash", action="store_true", help="keep the row hash as a column")
+    parser.add_argument("--index", help="folder of an index of the table's row hashes")
+    parser.add_argument("--cluster", action="store_true", help="sort files by category, location")
+    parser.add_argument("--drop-batch-copies", action="store_true", help="keep one of equal rows")
     parser.add_argument("--metrics", help="folder for one metrics row per batch")
     parser.add_argument("--bytes-per-trigger", type=int, help="bound batches by size, not files")
     parser.add_argument("--drain", action="store_true", help="stop when the inbox is used up")
@@ -23,8 +27,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("orders-ingest").getOrCreate()
     _project, inbox, location, checkpoint = job_settings(spark, args.settings).values()
     options = {} if args.format in FILE_FORMATS else staged_connector_options(checkpoint)
-    table = OrdersTable(location, args.format, options, store_hash=args.store_hash)
-    ingest = Ingest(table, metrics_path=args.metrics)
+    table = OrdersTable(location, args.format, options, args.store_hash, args.cluster)
+    index = HashIndex(args.index) if args.index else None
+    ingest = Ingest(table, args.metrics, args.drop_batch_copies, index=index)
     files = None if args.bytes_per_trigger else FILES_PER_TRIGGER
     start_ingest(
         spark, inbox, checkpoint, ingest, files, args.bytes_per_trigger, args.drain
