@@ -8,6 +8,7 @@ from tillroll.operators.dedup import hashes_of, with_row_hash
 from tillroll.schema import BUSINESS_COLUMNS, RAW_COLUMNS, RAW_SCHEMA, TABLE_SCHEMA
 from tillroll.sources import paths
 from tillroll.sources.orders_csv import (
+    ANY_TEXT,
     read_orders_csv,
     split_report,
     split_to_csv,
@@ -176,6 +177,77 @@ def test_schemas_line_up():
     assert len(TABLE_SCHEMA) == 29 and all(f.nullable for f in TABLE_SCHEMA)
 
 
+def test_any_text_survives_the_split_and_the_stream(spark, tmp_path):
+    odd = ['"', '\\', '\\"', 'a "b", c\\', "two\nlines", "\r\nx", "  padded\t", '"\n"', "é\u2028", ","]
+    raw = orders(spark, *({"item_purchased": text} for text in odd)).drop("processed_time")
+    raw = raw.toDF(*RAW_COLUMNS)
+    folder = str(tmp_path / "split")
+    split_to_csv(raw, folder, 2, escape=ANY_TEXT["escape"])
+    assert bag(read_orders_csv(spark, folder, **ANY_TEXT)) == bag(raw)
+    stream = stream_orders_csv(spark, folder, **ANY_TEXT)
+    query = stream.writeStream.format("memory").queryName("any_text").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert bag(spark.table("any_text")) == bag(raw)
+
+
+def test_rejected_records_are_kept_beside_the_others(spark, tmp_path):
+    good, bad = LINE.format(age=30), LINE.format(age="x")
+    (tmp_path / "a.csv").write_text("\n".join(["header", good, bad, good + ",more", good[:-7]]))
+    rows = read_orders_csv(spark, str(tmp_path), rejected=True).cache().collect()
+    assert [r["_rejected"] for r in rows] == [None, bad, good + ",more", good[:-7]]
+    assert [r["Age"] for r in rows] == [30, None, 30, 30]
+
+
+def scans(df):
+    """(files, rows) that the file scans of a frame's plan have read."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec":
+            metrics = node.metrics()
+            found.append(tuple(metrics.apply(m).value() for m in ("numFiles", "numOutputRows")))
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_layout_shows_in_reads(spark, tmp_path):
+    days = [datetime.datetime(2024, 1, d) for d in range(1, 9)]
+    rows = orders(
+        spark,
+        *(
+            {"processed_time": day, "category": c, "location": str(i)}
+            for day in days for c in "abcdefgh" for i in range(400)
+        ),
+    ).repartition(8)
+    small = {"parquet.block.size": "1024", "parquet.block.size.row.check.min": "20",
+             "parquet.page.size.row.check.min": "20", "parquet.page.row.count.limit": "50"}
+    laid = OrdersTable(str(tmp_path / "laid"), options=small, cluster=True)
+    plain = OrdersTable(str(tmp_path / "plain"), options=small)
+    for table in (laid, plain):
+        table.append(rows)
+
+    def asked(table):
+        return table.between(spark, "2024-01-03", "2024-01-04").where("category = 'c'")
+
+    assert bag(asked(laid)) == bag(asked(plain)) and asked(laid).count() == 800
+    (laid_files, laid_rows), (plain_files, plain_rows) = *scans(asked(laid)), *scans(asked(plain))
+    everything = len(list((tmp_path / "laid").rglob("*.parquet")))
+    # Two of eight days, and in their files the pages of one of eight categories.
+    assert 0 < laid_files <= everything / 4
+    assert 800 <= laid_rows <= 1600 and plain_rows > 3 * laid_rows
+    assert plain_files > laid_files
+    nothing = OrdersTable(str(tmp_path / "none")).between(spark, "2024-01-03", "2024-01-04")
+    assert nothing.collect() == []
+
+
 def test_split_keeps_white_space(spark, tmp_path):
     from tillroll.sources.orders_csv import split_to_csv
 

@@ -1,5 +1,7 @@
 """Fitting an arbitrary input to the declared order schema."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, StringType
@@ -24,7 +26,11 @@ def _fit(df: DataFrame, name: str, target: DataType) -> Column:
     return value.try_cast(target).alias(name)
 
 
-def align_orders(df: DataFrame) -> DataFrame:
-    """Exactly the aligned columns, in order and typed; anything else is dropped."""
+def align_orders(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly the aligned columns, in order and typed; anything else is dropped.
+
+    Columns to ``keep`` follow them as they are.
+    """
     cleaned = clean_columns(df)
-    return cleaned.select(*(_fit(cleaned, n, t) for n, t in ALIGNED_COLUMNS.items()))
+    kept = (F.col(cleaned.columns[df.columns.index(name)]).alias(name) for name in keep)
+    return cleaned.select(*(_fit(cleaned, n, t) for n, t in ALIGNED_COLUMNS.items()), *kept)

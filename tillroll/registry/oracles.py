@@ -144,6 +144,9 @@ FROM parts GROUP BY {names}"""
 _EVOLUTION_GROUP = """location, category, amount_category, customer_segment,
   count(*) AS orders, sum(purchase_amount_usd) AS spend, count(estimated_clv) AS known_clv"""
 
+#: Columns whose texts the query of odd texts changes, with their numbers.
+_ODD = {"item_purchased": 0, "category": 1, "color": 2}
+
 ORACLES: dict[str, str] = {
     "v_age_preferences": _preferences("age_bucket", _AGE_BUCKET),
     "v_gender_preferences": _preferences("gender", "gender"),
@@ -266,4 +269,20 @@ FROM (SELECT {_HASH} AS h, count(*) AS n FROM shop_orders GROUP BY 1)"""),
         "SELECT 2 * count(*) AS received, 2 * count(*) AS new_rows, CAST(0 AS BIGINT) AS duplicates\n"
         "FROM shop_orders"
     ),
+    "any_text": _orders(f"""SELECT {", ".join(
+        f"""'  "{_ODD[c]}" \\, \\"' || chr(10) || {c} || '\\ ' AS {c}""" if c in _ODD else c
+        for c in (x.strip() for x in _BUSINESS.split(",")))}
+FROM shop_orders"""),
+    "rejected_cells": _orders("""SELECT count(*) AS received, count(*) AS new_rows,
+  CAST(0 AS BIGINT) AS duplicates, count(*) FILTER (age IN (20, 21)) AS rejected,
+  count(age) - count(*) FILTER (age = 20) AS known_ages
+FROM shop_orders"""),
+    "layout_pruning": _enriched("""SELECT category, location, count(*) AS orders,
+  max(final_amount_usd) AS largest
+FROM enriched WHERE category LIKE 'PROMO%'
+  AND processed_time >= TIMESTAMP '1995-01-01' AND processed_time < TIMESTAMP '1997-01-01'
+GROUP BY 1, 2"""),
 }
+ORACLES |= {f"stored_{view}": ORACLES[view] for view in (
+    "v_age_preferences", "v_gender_preferences", "v_location_preferences", "v_age_gender_category"
+)}

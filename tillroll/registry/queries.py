@@ -5,6 +5,7 @@ Each callable takes (spark, sf_dir) and works on the whole tables.
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,12 @@ from tillroll.operators.dedup import (
 from tillroll.operators.enrich import enrich_orders
 from tillroll.operators.ranking import attach_to_groups, rank_items, top_items
 from tillroll.plans import reports, views
+from tillroll.plans.stored_views import create_views, refresh, register_table
 from tillroll.registry.adapter import row_bound, shop_orders
 from tillroll.schema import ALIGNED_COLUMNS, BUSINESS_COLUMNS, PROCESSED_TIME, RAW_COLUMNS
 from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import (
+    ANY_TEXT,
     read_orders_csv,
     split_report,
     split_to_csv,
@@ -220,12 +223,9 @@ def ingest_metrics(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> Dat
     return _totals(read_metrics(spark, metrics))
 
 
-def _totals(metrics: DataFrame) -> DataFrame:
-    return metrics.agg(
-        F.sum("received").alias("received"),
-        F.sum("new_rows").alias("new_rows"),
-        F.sum("duplicates").alias("duplicates"),
-    )
+def _totals(metrics: DataFrame, *more: str) -> DataFrame:
+    names = ("received", "new_rows", "duplicates", *more)
+    return metrics.agg(*(F.sum(name).alias(name) for name in names))
 
 
 def _run_with_replay(spark: SparkSession, sf_dir: str) -> tuple[OrdersTable, str]:
@@ -257,6 +257,80 @@ def replay_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _totals(read_metrics(spark, metrics))
 
 
+def any_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with padding, quotes, backslashes and line breaks, split and streamed."""
+    base = new_shared_folder(spark, "any-text")
+    odd = {
+        name: F.concat(F.lit(f'  "{i}" \\, \\"\n'), F.col(name), F.lit("\\ "))
+        for i, name in enumerate(("item_purchased", "category", "color"))
+    }
+    orders = shop_orders(spark, sf_dir).withColumns(odd).drop(PROCESSED_TIME).toDF(*RAW_COLUMNS)
+    split_to_csv(orders, f"{base}/inbox", INBOX_ROWS_PER_FILE, escape=ANY_TEXT["escape"])
+    table = OrdersTable(f"{base}/orders", store_hash=True)
+    query = start_ingest(
+        spark, f"{base}/inbox", f"{base}/checkpoint", Ingest(table), drain=True, **ANY_TEXT
+    )
+    query.awaitTermination()
+    return table.read(spark).select(*BUSINESS_COLUMNS)
+
+
+def rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream of which some records have a cell that is no number, or one more."""
+    base = new_shared_folder(spark, "rejected")
+    raw = raw_orders(spark, sf_dir)
+    text = raw.select(*(F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("")) for n in raw.columns))
+    cells = text.toDF(*BUSINESS_COLUMNS)
+    no_number = F.when(F.col("age") == "20", F.lit("young")).otherwise(F.col("age"))
+    one_more = F.when(F.col("age") == "21", F.lit(",more")).otherwise(F.lit(""))
+    quoted = [
+        F.concat(F.lit('"'), F.regexp_replace(c, '"', '""'), F.lit('"'))
+        for c in (no_number if c == "age" else F.col(c) for c in BUSINESS_COLUMNS)
+    ]
+    record = F.concat(F.concat_ws(",", *quoted), one_more)
+    cells.select(record.alias("value")).write.option("maxRecordsPerFile", INBOX_ROWS_PER_FILE).text(
+        f"{base}/inbox"
+    )
+    ingest = Ingest(OrdersTable(f"{base}/orders"), metrics_path=f"{base}/metrics")
+    query = start_ingest(
+        spark, f"{base}/inbox", f"{base}/checkpoint", ingest, drain=True, header="false", **ANY_TEXT
+    )
+    query.awaitTermination()
+    known = ingest.table.read(spark).agg(F.count("age").alias("known_ages"))
+    metrics = read_metrics(spark, f"{base}/metrics")
+    return _totals(metrics.unionByName(known, True), "rejected", "known_ages")
+
+
+def stored_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
+    """A view created over a part of the orders, read after the others were appended."""
+    table = OrdersTable(f"{new_shared_folder(spark, 'views')}/orders")
+    name = f"orders_{uuid4().hex}"
+    rows = enriched(spark, sf_dir).withColumn(PROCESSED_TIME, F.current_timestamp())
+    early = F.col("previous_purchases") < PRELOADED_BELOW
+    table.append(rows.filter(early))
+    register_table(spark, table, name)
+    create_views(spark, name, prefix=f"{name}_")
+    spark.table(f"{name}_{view}").count()
+    table.append(rows.filter(~early | early.isNull()))
+    refresh(spark, name)
+    found = spark.table(f"{name}_{view}")
+    if "top_categories" in found.columns:
+        return found.withColumn("top_categories", F.array_join("top_categories", ","))
+    return found
+
+
+def layout_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One category on some days, from a table laid out by day and sorted by category."""
+    table = OrdersTable(f"{new_shared_folder(spark, 'layout')}/orders", cluster=True)
+    quarter = F.date_trunc("quarter", PROCESSED_TIME)
+    table.append(enriched(spark, sf_dir).withColumn(PROCESSED_TIME, quarter))
+    days = table.between(spark, "1995-01-01", "1996-12-31")
+    return (
+        days.filter(F.col("category").startswith("PROMO"))
+        .groupBy("category", "location")
+        .agg(F.count(F.lit(1)).alias("orders"), F.max("final_amount_usd").alias("largest"))
+    )
+
+
 # --- ranking ---------------------------------------------------------------------
 
 
@@ -324,4 +398,8 @@ QUERIES: dict[str, Query] = {
     "redelivery_metrics": partial(ingest_metrics, deliveries=2),
     "replayed_batch": replayed_batch,
     "replay_metrics": replay_metrics,
+    "any_text": any_text,
+    "rejected_cells": rejected_cells,
+    **{f"stored_{view}": partial(stored_view, view=view) for view in views.VIEWS},
+    "layout_pruning": layout_pruning,
 }

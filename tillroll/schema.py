@@ -73,6 +73,9 @@ BATCH_ID = "batch_id"
 ALIGNED_COLUMNS: dict[str, DataType] = BUSINESS_COLUMNS | {PROCESSED_TIME: TimestampType()}
 
 RAW_SCHEMA = _struct(RAW_COLUMNS)
+#: Text of a record of which a cell did not convert, or with a wrong number of cells.
+REJECTED = "_rejected"
+RAW_SCHEMA_WITH_REJECTED = _struct(RAW_COLUMNS | {REJECTED: _STRING})
 ALIGNED_SCHEMA = _struct(ALIGNED_COLUMNS)
 TABLE_SCHEMA = _struct(ALIGNED_COLUMNS | COMPUTED_COLUMNS)
 #: What lies in the files of a stored table: the table plus its helper columns.

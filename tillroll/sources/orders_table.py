@@ -37,7 +37,8 @@ class OrdersTable:
     ``store_hash`` keeps the row hash as a column, so that checking a batch against the
     table reads that one column and not the eighteen it is made of. ``cluster`` sorts
     each written file by category and location, and keeps the files of a load that spans
-    many days few.
+    many days few. ``absent_texts`` are parts of the messages by which a connector says that
+    its table does not exist; Spark's own errors are known.
     """
 
     location: str
@@ -45,6 +46,7 @@ class OrdersTable:
     options: Mapping[str, str] = field(default_factory=dict)
     store_hash: bool = False
     cluster: bool = False
+    absent_texts: tuple[str, ...] = ()
 
     @property
     def is_files(self) -> bool:
@@ -62,15 +64,19 @@ class OrdersTable:
             if not folder_exists(spark, self.location):
                 return None
             rows = spark.read.format(self.format).options(**self.options)
-            return rows.schema(self._file_schema()).load(self.location)
+            return rows.schema(self.file_schema()).load(self.location)
         else:
             try:
                 return spark.read.format(self.format).options(**self._connector()).load()
-            except AnalysisException as failure:
-                if failure.getCondition() in _ABSENT:
+            except Exception as failure:
+                if self._says_absent(failure):
                     return None
                 raise
 
+    def _says_absent(self, failure: Exception) -> bool:
+        known = isinstance(failure, AnalysisException) and failure.getCondition() in _ABSENT
+        return known or any(text in str(failure) for text in self.absent_texts)
+
     def read(self, spark: SparkSession) -> DataFrame:
         """The stored rows under the table schema."""
         stored = self.snapshot(spark)
@@ -83,6 +89,18 @@ class OrdersTable:
         }
         return stored.withColumns(missing).select(*TABLE_SCHEMA.names)
 
+    def between(self, spark: SparkSession, first: str, last: str) -> DataFrame:
+        """The rows ingested from day ``first`` to ``last``, both included.
+
+        Of a file table only the folders of these days are opened.
+        """
+        stored = self.snapshot(spark)
+        if stored is None:
+            return self.read(spark)
+        day = F.col(PROCESSED_DATE) if self.is_files else F.to_date(PROCESSED_TIME)
+        days = stored.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        return days.select(*(c for c in TABLE_SCHEMA.names if c in days.columns))
+
     def append(self, rows: DataFrame) -> int:
         """Append rows, aligned or enriched, and return how many there were.
 
@@ -119,14 +137,14 @@ class OrdersTable:
         if not folders:
             return 0
         files = spark.read.format(self.format).options(**self.options)
-        return files.schema(self._file_schema()).load(folders).count()
+        return files.schema(self.file_schema()).load(folders).count()
 
     def batch_hashes(self, spark: SparkSession, stream_id: str, batch_id: int) -> DataFrame:
         """The hashes of one batch, read from its folders."""
         folders = self._batch_folders(spark, stream_id, batch_id)
         if not folders:
             return spark.createDataFrame([], f"{ROW_HASH} string")
-        files = spark.read.format(self.format).options(**self.options).schema(self._file_schema())
+        files = spark.read.format(self.format).options(**self.options).schema(self.file_schema())
         rows = files.load(folders)
         return rows.select(ROW_HASH if self.store_hash else row_hash().alias(ROW_HASH))
 
@@ -163,7 +181,8 @@ class OrdersTable:
         by = [*lead, *CLUSTER_COLUMNS]
         return rows.hint("rebalance", *by).sortWithinPartitions(*by)
 
-    def _file_schema(self) -> StructType:
+    def file_schema(self) -> StructType:
+        """What lies in the files, with the partition columns."""
         kept = [f for f in STORED_SCHEMA if f.name != ROW_HASH or self.store_hash]
         return StructType(kept)
 

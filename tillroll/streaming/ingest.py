@@ -25,7 +25,7 @@ from tillroll.operators.dedup import (
     with_row_hash,
 )
 from tillroll.operators.enrich import enrich_orders
-from tillroll.schema import BATCH_ID, PROCESSED_TIME, STREAM_ID
+from tillroll.schema import BATCH_ID, PROCESSED_TIME, REJECTED, STREAM_ID
 from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER, stream_orders_csv
 from tillroll.sources.orders_table import OrdersTable
@@ -41,17 +41,19 @@ QUERY_ID = "sql.streaming.queryId"
 
 METRICS_SCHEMA = StructType(
     [StructField(STREAM_ID, StringType())]
-    + [StructField(n, LongType()) for n in (BATCH_ID, "received", "new_rows", "duplicates")]
+    + [StructField(n, LongType()) for n in (BATCH_ID, "received", "new_rows", "duplicates", "rejected")]
 )
 
 
 @dataclass(frozen=True)
 class BatchMetrics:
-    """Rows of a batch, and how many of them the table did not have."""
+    """Rows of a batch, how many of them the table did not have, and how many had a cell
+    that did not convert, or too many or few cells."""
 
     batch_id: int
     received: int
     new_rows: int
+    rejected: int = 0
 
     @property
     def duplicates(self) -> int:
@@ -81,12 +83,14 @@ class Ingest:
         spark = batch.sparkSession
         stream = self.stream_id or spark.sparkContext.getLocalProperty(QUERY_ID) or "direct"
         hashed = with_row_hash(batch).persist()
+        faulty = F.count(REJECTED) if REJECTED in batch.columns else F.lit(0)
         try:
-            received = hashed.count()
-            new_rows = self._write_new(hashed, received, stream, batch_id) if received else 0
+            received, rejected = hashed.agg(F.count(F.lit(1)), faulty).first()
+            rows = hashed.drop(REJECTED)
+            new_rows = self._write_new(rows, received, stream, batch_id) if received else 0
         finally:
             hashed.unpersist()
-        metrics = BatchMetrics(batch_id, received, new_rows)
+        metrics = BatchMetrics(batch_id, received, new_rows, rejected)
         log.info("%s, %s duplicates", metrics, metrics.duplicates)
         if self.metrics_path:
             self._record(spark, stream, metrics)
@@ -114,6 +118,7 @@ class Ingest:
             F.lit(metrics.received).cast("long").alias("received"),
             F.lit(metrics.new_rows).cast("long").alias("new_rows"),
             F.lit(metrics.duplicates).cast("long").alias("duplicates"),
+            F.lit(metrics.rejected).cast("long").alias("rejected"),
         )
         own = f"{STREAM_ID}={stream}/{BATCH_ID}={metrics.batch_id}"
         row.write.mode("overwrite").parquet(f"{self.metrics_path}/{own}")
@@ -124,9 +129,13 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prepare_orders(raw: DataFrame) -> DataFrame:
-    """Raw rows, batch or stream, to table rows stamped with one time per batch."""
+    """Raw rows, batch or stream, to table rows stamped with one time per batch.
+
+    A column of rejected records stays beside them.
+    """
     stamped = raw.withColumn(PROCESSED_TIME, F.current_timestamp())
-    return stamped.transform(align_orders).transform(enrich_orders)
+    kept = (REJECTED,) if REJECTED in raw.columns else ()
+    return stamped.transform(align_orders, keep=kept).transform(enrich_orders)
 
 
 def start_ingest(
@@ -137,13 +146,18 @@ def start_ingest(
     files_per_trigger: int | None = FILES_PER_TRIGGER,
     bytes_per_trigger: int | None = None,
     drain: bool = False,
+    interval: str = TRIGGER_INTERVAL,
+    **csv_options: str,
 ) -> StreamingQuery:
-    """Start the stream; it runs until stopped or, with ``drain``, until the inbox is
-    used up. Progress is kept in a folder of the checkpoint path.
+    """Start the stream; it looks for files every ``interval`` until stopped or, with
+    ``drain``, until the inbox is used up. Progress is kept in a folder of the checkpoint
+    path. ``csv_options`` are those of Spark's CSV reader, say ``ANY_TEXT``.
     """
     ensure_folder(spark, inbox)
-    trigger = {"availableNow": True} if drain else {"processingTime": TRIGGER_INTERVAL}
-    rows = stream_orders_csv(spark, inbox, files_per_trigger, bytes_per_trigger)
+    trigger = {"availableNow": True} if drain else {"processingTime": interval}
+    rows = stream_orders_csv(
+        spark, inbox, files_per_trigger, bytes_per_trigger, rejected=True, **csv_options
+    )
     return (
         prepare_orders(rows)
         .writeStream.foreachBatch(ingest.handle)
