@@ -47,16 +47,21 @@ class WaveletTree:
             self.levels.append(BitVector(bits))
             self.zeros.append(len(symbols) - int(bits.sum()))
             symbols = np.concatenate([symbols[bits == 0], symbols[bits == 1]])
+        # Where the places of a symbol begin on the last level depends on the symbol alone.
+        every = np.arange(1 << n_bits)
+        self.begin = self._down(every, np.zeros_like(every))
 
-    def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How many of the first ``at`` symbols are the given one."""
-        low, high = np.zeros_like(at), at
+    def _down(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the first ``at`` places lead on the last level, along the bits of a symbol."""
         for level, (vector, zeros) in enumerate(zip(self.levels, self.zeros, strict=True)):
             one = (symbols >> (self.n_bits - 1 - level)) & 1 == 1
-            ones_low, ones_high = vector.ones(low), vector.ones(high)
-            low = np.where(one, zeros + ones_low, low - ones_low)
-            high = np.where(one, zeros + ones_high, high - ones_high)
-        return high - low
+            ones = vector.ones(at)
+            at = np.where(one, zeros + ones, at - ones)
+        return at
+
+    def rank(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """How many of the first ``at`` symbols are the given one."""
+        return self._down(symbols, at) - self.begin[symbols]
 
 
 class FMIndex:
@@ -77,15 +82,22 @@ class FMIndex:
         base = self.smaller[symbols]
         return base + self.tree.rank(symbols, low), base + self.tree.rank(symbols, high)
 
-    def matching_statistics(self, symbols: np.ndarray, at: np.ndarray, window: int):
+    def matching_statistics(
+        self, symbols: np.ndarray, at: np.ndarray, window: int, own: bool = False
+    ):
         """For the places ``at``: length of the match that ends ``window`` symbols on.
 
-        All places go a step back together; a match that dies keeps its length. Also the
-        interval of the matches of full length.
+        All places go a step back together, from the interval of their last symbol; a match
+        that dies keeps its length. Also the interval of the matches of full length. ``own``
+        says that the places are of the index itself: then a match of a single suffix is the
+        place, and is followed no further.
         """
-        low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.order), np.int64)
-        length, alive = np.zeros(len(at), np.int64), np.arange(len(at))
-        for step in range(window):
+        last = symbols[at + window - 1]
+        low, high = self.smaller[last], self.smaller[last + 1]
+        length, least = (low < high).astype(np.int64), 2 if own else 1
+        alive = np.arange(len(at))
+        for step in range(1, window):
+            alive = alive[high[alive] - low[alive] >= least]
             symbol = symbols[at[alive] + window - 1 - step]
             low[alive], high[alive] = self.extend(symbol, low[alive], high[alive])
             alive = alive[low[alive] < high[alive]]
@@ -114,7 +126,7 @@ def lowest_by_index(values, starts, ends, lows, window=WINDOW_WORDS) -> np.ndarr
     docs = np.repeat(lows, ends - starts + 1)[index.order]
     left = np.repeat(ends, ends - starts) - np.arange(len(symbols))
     at = np.flatnonzero(left >= window)
-    length, low, high = index.matching_statistics(symbols, at, window)
+    length, low, high = index.matching_statistics(symbols, at, window, own=True)
     lowest = np.full(len(symbols), NOBODY)
     full = length >= window
     lowest[at[full]] = _range_minimum(docs, low[full], high[full])
