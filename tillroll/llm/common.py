@@ -1,5 +1,7 @@
 """What the operators share: reading, folders, row keys."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,7 @@ from tillroll.sources.paths import new_shared_folder
 #: ASCII white space, the only word separators of this package.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def importable(spark: SparkSession) -> None:
@@ -39,22 +42,38 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return saved_at(df, purpose)[0]
 
 
-def saved_at(df: DataFrame, purpose: str, *partitions: str) -> tuple[DataFrame, str]:
-    """As ``saved``, with the folder, which ``discard`` takes once nothing reads it."""
+def saved_at(
+    df: DataFrame, purpose: str, *partitions: str, drop_shuffles: bool = False
+) -> tuple[DataFrame, str]:
+    """As ``saved``, with the folder, which ``discard`` takes once nothing reads it.
+
+    ``drop_shuffles`` is for steps that shuffle more than they write.
+    """
     spark = df.sparkSession
     path = f"{new_shared_folder(spark, purpose)}/rows"
-    df.write.partitionBy(*partitions).parquet(path)
+    with _shuffles_dropped(spark) if drop_shuffles else nullcontext():
+        df.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of a query when it ends.
+
+    Spark else keeps them until the driver collects the frame as garbage, so that the steps
+    of an operator add up on the executors' disks. A written result needs them no more.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate result that no frame will read again."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def same(left: Column, right: Column) -> Column:
-    """Equality that also holds between nulls."""
-    return left.eqNullSafe(right)
-
-

@@ -31,7 +31,7 @@ from tillroll.llm.arrays import (
     text_chunks,
     words,
 )
-from tillroll.llm.common import saved, text_or_empty
+from tillroll.llm.common import discard, saved_at, text_or_empty
 
 HOT_DOCUMENTS = 20_000
 #: Tokens that a solver gets at once; an anchor with more comes alone.
@@ -307,12 +307,13 @@ def repeated_spans(
     """
     rows = _keyed(docs, id_column, text).select("doc", "rid", "text")
     anchors = rows.mapInArrow(_anchors(unit), "h long, doc long, rid long")
-    shared = saved(
+    shared, shared_path = saved_at(
         anchors.groupBy("h")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
         .filter("low < high")
         .select("h", (F.col("n") > hot_documents).alias("hot")),
         "anchors",
+        drop_shuffles=True,
     )
     wanted = (
         anchors.select("h", "rid")
@@ -320,15 +321,17 @@ def repeated_spans(
         .groupBy("rid")
         .agg(F.collect_list(F.struct("h", "hot")).alias("shared"))
     )
-    places = saved(
+    places, _ = saved_at(
         rows.join(wanted, "rid")
         .mapInArrow(
             _occurrences(unit), "doc long, rid long, start long, key long, piece binary"
         )
         .withColumn("fid", F.xxhash64("piece")),
         "fragments",
+        drop_shuffles=True,
     )
-    runs = saved(
+    discard(rows.sparkSession, shared_path)
+    runs, _ = saved_at(
         places.groupBy("key", "fid", "piece")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .repartition("key")
@@ -337,6 +340,7 @@ def repeated_spans(
             _solve(solver, unit), "key long, fid long, from long, to long, low long"
         ),
         "runs",
+        drop_shuffles=True,
     )
     return (
         places.select("doc", "rid", "start", "key", "fid")
