@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import LOWER, Chunk, ngram_hashes, ragged, span_hashes, text_chunks, words
-from tillroll.llm.common import saved, text_or_empty
+from tillroll.llm.common import discard, saved, saved_at, text_or_empty
 
 ORDER = 3
 BACKOFF = 0.4
@@ -60,15 +60,21 @@ def _grams(order: int):
 
 def ngram_tables(train: DataFrame, text: str = "text", order: int = ORDER) -> list[DataFrame]:
     """For each order from 1: g, n, n_history. All texts and all n-grams are counted."""
+    return _tables_at(train, text, order)[0]
+
+
+def _tables_at(train: DataFrame, text: str, order: int) -> tuple[list[DataFrame], list[str]]:
+    """The tables, and where the counts of each order lie; a table also reads the order below."""
     rows = train.select(text_or_empty(text).alias("text"))
-    tables, shorter = [], None
+    tables, paths, shorter = [], [], None
     for k in range(1, order + 1):
         counts = (
             rows.mapInArrow(_grams(k), "g long, history long, n long")
             .groupBy("g")
             .agg(F.first("history").alias("history"), F.sum("n").alias("n"))
         )
-        counts = saved(counts, f"grams-{k}")
+        counts, path = saved_at(counts, f"grams-{k}", drop_shuffles=True)
+        paths.append(path)
         if shorter is None:
             total = counts.agg(F.sum("n")).first()[0] or 0
             tables.append(counts.select("g", "n", F.lit(total).cast("long").alias("n_history")))
@@ -76,7 +82,7 @@ def ngram_tables(train: DataFrame, text: str = "text", order: int = ORDER) -> li
             history = shorter.select(F.col("g").alias("history"), F.col("n").alias("n_history"))
             tables.append(counts.join(history, "history").select("g", "n", "n_history"))
         shorter = counts
-    return tables
+    return tables, paths
 
 
 def _exploded(order: int):
@@ -147,7 +153,7 @@ def stupid_backoff(
     that ``docs`` are part of ``train``. A word the model lacks counts UNSEEN times. A
     text without words, or null, has score 0 and no mean. Sums are rounded to 6 digits.
     """
-    tables = ngram_tables(train, text, order)
+    tables, table_paths = _tables_at(train, text, order)
     keyed = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
     )
@@ -160,7 +166,7 @@ def stupid_backoff(
     )
     total = tables[0].select("n_history").first()
     words_in_all = F.lit(float(total[0] if total else 0))
-    sums = []
+    spark, sums, met_path = docs.sparkSession, [], None
 
     def own(column: str) -> Column:
         return F.col(column) if leave_out else F.lit(0)
@@ -176,11 +182,23 @@ def stupid_backoff(
         else:
             share = count / past
         met = met.withColumn("known", (count > 0) & (past > 0) if k > 1 else F.lit(True))
+        lower = [f"{c}{j}" for j in range(1, k) for c in ("g", "own", "past")]
+        met = met.select(
+            "doc",
+            "rid",
+            "n",
+            "n_words",
+            "known",
+            F.when(F.col("known"), share).alias("share"),
+            # Only what goes on to the next order needs its columns.
+            *(F.when(~F.col("known"), F.col(c)).alias(c) for c in lower),
+        )
         if k > 1:
-            met = saved(met.withColumn("share", F.when(F.col("known"), share)), f"order-{k}")
-        else:
-            met = met.withColumn("share", share)
-        sums.append(
+            before, (met, met_path) = met_path, saved_at(met, f"order-{k}", drop_shuffles=True)
+            for path in (before, table_paths[k - 1]):
+                if path:
+                    discard(spark, path)
+        part = (
             met.filter("known")
             .groupBy("doc", "rid")
             .agg(
@@ -189,7 +207,11 @@ def stupid_backoff(
                 F.max("n_words").alias("n_words"),
             )
         )
-        left = met.filter("NOT known").drop("c", "n_history", "known", "share")
+        sums.append(saved(part, f"scores-{k}"))
+        left = met.filter("NOT known").select("doc", "rid", "n", "n_words", *lower)
+    for path in (met_path, table_paths[0]):
+        if path:
+            discard(spark, path)
     scores = sums[0]
     for part in sums[1:]:
         scores = scores.unionAll(part)
