@@ -267,3 +267,21 @@ def test_empty_tables(docs, labels, benchmark):
         distinct_documents(none),
     ):
         assert df.count() == 0
+
+
+CLASHES = "n string, text string, row int, own_id string, own_key int, kept_id int, k_own string, digest int, kept boolean, doc_id long"
+
+
+@pytest.mark.parametrize("stage", [distinct_documents, one_of_each])
+def test_stages_leave_all_columns_alone(spark, stage):
+    def row(i, text):
+        return (f"n{i}", text, 1, "x", 2, 3, "y", 4, None, i)
+
+    rows = [row(1, "a b c d"), row(2, "a b c d"), row(None, "other text here"), row(3, None), row(4, "e f g h")]
+    docs = spark.createDataFrame(rows, CLASHES)
+    out = stage(docs)
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in rows if r[9] != 2}
+    renamed = stage(docs.withColumnsRenamed({"doc_id": "number", "n": "doc_id"}), id_column="number")
+    assert {r["number"] for r in renamed.collect()} == {1, None, 3, 4}
+    assert stage(docs.limit(0)).collect() == []

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE, saved, text_or_empty
+from tillroll.llm.common import SPACE, kept_rows, saved, text_or_empty
 
 BLOCK_BYTES = 16384
 NAMED = "doc_id long, rid long, pos int, n_blocks int, sha string, name long, block binary"
@@ -203,19 +203,15 @@ def exact_duplicates(
     )
 
 
-def distinct_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows that stay, all columns unchanged.
+def distinct_documents(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """The rows that stay, all columns unchanged, whatever their names.
 
-    Of rows that repeat a doc_id and an equal text one stays, whichever comes first.
+    As in ``exact_duplicates``, null texts are empty and null ids the largest. Of rows that
+    repeat an id and an equal text one stays, whichever comes first. No rows give no rows.
     """
-    kept = (
-        exact_duplicates(docs, text=text, **options)
-        .filter("kept")
-        .select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-    )
+    found = exact_duplicates(docs, id_column, text, **options).filter("kept")
     normal = F.regexp_replace(text_or_empty(text), SPACE, " ")
-    keyed = docs.withColumn("k_own", F.sha2(F.encode(normal, "UTF-8"), 256))
-    on = (F.col("k_own") == F.col("k_sha")) & docs["doc_id"].eqNullSafe(F.col("k_id"))
-    return (
-        keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "k_own"]).select(docs.columns)
-    )
+    digest = F.sha2(F.encode(normal, "UTF-8"), 256)
+    return kept_rows(docs, found.select("doc_id", "text_sha256"), id_column, digest)

@@ -77,3 +77,17 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def kept_rows(docs: DataFrame, kept: DataFrame, id_column: str, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and ``key`` are in ``kept``, its two columns.
+
+    One row for each id and key, whichever comes first; a null id is found like any other. All
+    columns are unchanged, whatever their names: they travel as one struct.
+    """
+    wanted = kept.toDF("kept_id", "kept_key")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_column).alias("own_id"), key.alias("own_key")
+    )
+    found = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_key") == F.col("kept_key"))
+    return (
+        rows.join(wanted, found, "left_semi").dropDuplicates(["own_id", "own_key"]).select("row.*")
+    )

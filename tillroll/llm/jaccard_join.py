@@ -34,7 +34,7 @@ from tillroll.llm.arrays import (
     text_chunks,
     words,
 )
-from tillroll.llm.common import saved, text_or_empty
+from tillroll.llm.common import kept_rows, saved, text_or_empty
 from tillroll.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -347,11 +347,11 @@ def near_duplicates(
     )
 
 
-def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The kept rows, all columns unchanged; of fully repeated keys one row."""
-    kept = near_duplicates(docs, text=text).filter("kept").select(
-        F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest")
-    ).distinct()
-    keyed = docs.withColumn("k_own", F.xxhash64(text_or_empty(text)))
-    on = (F.col("k_own") == F.col("k_digest")) & docs["doc_id"].eqNullSafe(F.col("k_id"))
-    return keyed.join(kept, on, "left_semi").dropDuplicates(["doc_id", "k_own"]).select(docs.columns)
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The kept rows, all columns unchanged, whatever their names.
+
+    As in ``near_duplicates``, null texts have no shingles and are all kept. Of rows that
+    repeat an id and a text one stays, whichever comes first. No rows give no rows.
+    """
+    found = near_duplicates(docs, id_column, text).filter("kept").select("doc_id", "digest")
+    return kept_rows(docs, found.distinct(), id_column, F.xxhash64(text_or_empty(text)))
