@@ -34,7 +34,6 @@ HEADLINE = (
     "enrich_orders",
     "dedup_against_table",
     "dedup_by_shuffle",
-    "dedup_against_index",
     "dedup_within_batch",
     "stream_ingest",
 )
