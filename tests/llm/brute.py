@@ -195,3 +195,26 @@ def conversations(rows):
             audit,
             hashlib.sha256("\n".join(repaired).encode()).hexdigest(),
         )
+
+
+def packing(lengths, bounds, budget):
+    """(doc_id, n_tokens, bucket_len, batch_id, slot) of rows (doc_id, n_tokens), given the bounds."""
+    out = []
+    for low, high in zip([-1, 0, *bounds], [0, *bounds]):
+        own = sorted((n, i) for i, n in lengths if low < n <= high)
+        size = max(1, budget // max(1, high))
+        out += [(i, n, high, f"{high}-{k // size}", k % size) for k, (n, i) in enumerate(own)]
+    return out
+
+
+def least_padded(lengths, n_buckets):
+    """The least sum of padded lengths, by trying every beginning of every bucket."""
+    tops = sorted(set(lengths) - {0})
+    count = [sum(x <= top for x in lengths if x) for top in tops]
+    cost = [top * n for top, n in zip(tops, count)]
+    for _ in range(n_buckets - 1):
+        cost = [
+            min([cost[j]] + [cost[i] + tops[j] * (count[j] - count[i]) for i in range(j)])
+            for j in range(len(tops))
+        ]
+    return cost[-1]

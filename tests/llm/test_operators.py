@@ -21,6 +21,7 @@ from tillroll.llm.secret_scan import EVERY, RULES, secret_report, trigram_query
 from tillroll.llm.token_cache import token_counts
 from tillroll.llm.toxicity import toxicity, without_toxic
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PASSAGE = "the quick brown fox jumps over the lazy dog while nine grey cats watch from an old red wall "
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, low long"
 ROWS = [
@@ -171,11 +172,18 @@ def test_contaminated_texts(docs, benchmark):
     assert sorted(left) == [3, 4, 6, 10, 11, 12, 13, 14, 15]
 
 
+def token_numbers(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    return [len(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
 def test_packing_of_awkward_rows(docs):
-    rows = pack_documents(docs, n_buckets=3, token_budget=64).collect()
-    words = [len(brute.WORD.findall(t or "")) for _, t in ROWS]
+    rows = pack_documents(docs, WORD_BPE, n_buckets=3, token_budget=64).collect()
+    lengths = token_numbers(t for _, t in ROWS)
     assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == Counter(
-        (i, n) for (i, _), n in zip(ROWS, words, strict=True)
+        (i, n) for (i, _), n in zip(ROWS, lengths, strict=True)
     )
     batches = {}
     for r in rows:
@@ -184,7 +192,24 @@ def test_packing_of_awkward_rows(docs):
     for own in batches.values():
         assert sorted(r["slot"] for r in own) == list(range(len(own)))
         assert len(own) == 1 or len(own) * own[0]["bucket_len"] <= 64
-    assert len({r["bucket_len"] for r in rows if r["bucket_len"]}) <= 3
+    assert {r["bucket_len"] for r in rows} <= {0, *lengths}
+    assert sum(r["bucket_len"] for r in rows) == brute.least_padded(lengths, 3)
+
+
+def test_packing_of_whole_rows(spark):
+    """Ties, a null id for most rows, and columns that have the names of those added."""
+    importable(spark)
+    rows = [(None, "a b c", 1, "x", 7, "p")] * 40 + [(i, "d " * i, 2, "y", 8, None) for i in range(9)]
+    schema = "doc_id long, text string, slot int, `Bucket_Len` string, row long, `a.b` string"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    out = pack_documents(docs, WORD_BPE, n_buckets=2, token_budget=12, whole_rows=True)
+    assert out.columns == ["doc_id", "text", "row", "a.b", "n_tokens", "bucket_len", "batch_id", "slot"]
+    found = [tuple(r) for r in out.collect()]
+    assert Counter(r[:4] for r in found) == Counter((i, t, n, b) for i, t, _, _, n, b in rows)
+    assert len({r[6:] for r in found}) == len(rows)
+    bounds = sorted({r[5] for r in found} - {0})
+    ids = [(-1 if r[0] is None else r[0], *r[4:]) for r in found]
+    assert Counter(ids) == Counter(brute.packing([r[:2] for r in ids], bounds, 12))
 
 
 def test_best_bounds_have_least_padding():
@@ -200,7 +225,18 @@ def test_best_bounds_have_least_padding():
             return sum(n * min(b for b in bounds if b >= x) for x, n in pairs)
 
         best = min(cost([*c, lengths[-1]]) for c in combinations(lengths[:-1], 2))
-        assert cost(best_bounds(lengths, counts, 3)) == best
+        bounds = best_bounds(lengths, counts, 3)
+        assert cost(bounds) == best and set(bounds) <= set(lengths)
+
+
+def test_bounds_of_many_long_lengths():
+    rng = np.random.default_rng(4)
+    lengths = np.unique(rng.integers(1, 200_000, 700))
+    counts = rng.integers(1, 9, len(lengths))
+    for n_buckets in (1, 2, 7):
+        bounds = np.array(best_bounds(lengths, counts, n_buckets))
+        padded = (bounds[np.searchsorted(bounds, lengths)] * counts).sum()
+        assert padded == brute.least_padded(np.repeat(lengths, counts).tolist(), n_buckets)
 
 
 def test_secrets_of_awkward_rows(docs):
@@ -211,16 +247,35 @@ def test_secrets_of_awkward_rows(docs):
 
 
 def test_token_counts_with_a_cache(docs, tmp_path):
-    from tokenizers import Tokenizer
-
-    path = public_tokenizers.path("word_bpe_49k.json")
-    tokenizer, cache = Tokenizer.from_file(path), str(tmp_path / "cache")
+    cache = str(tmp_path / "cache")
+    texts = [t for _, t in ROWS]
     expected = Counter(
-        (i, len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids))
-        for i, t in ROWS
+        (i, len((t or "").encode()), n) for (i, t), n in zip(ROWS, token_numbers(texts), strict=True)
     )
-    first = bag(token_counts(docs, path, cache))
-    assert first == expected == bag(token_counts(docs, path, cache))
+    first = bag(token_counts(docs, WORD_BPE, cache))
+    assert first == expected == bag(token_counts(docs, WORD_BPE, cache))
+    # Both ways of counting in one cache.
+    assert bag(token_counts(docs, WORD_BPE, cache, by_word=False)) == expected
+
+
+def test_token_counts_that_depend_on_white_space(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    importable(spark)
+    path, cache = public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path / "cache")
+    texts = ["a b", "a    b", "a b", " a b", "a\n\n b ", "", None, "def f(x):\n    return x\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = Tokenizer.from_file(path)
+    plain = {i: len(tokenizer.encode(t or "").ids) for i, t in enumerate(texts)}
+    assert plain[0] != plain[1]
+    for _ in range(2):
+        found = token_counts(docs, path, cache, by_word=False).collect()
+        assert {r["doc_id"]: r["n_tokens"] for r in found} == plain
+    packed = pack_documents(docs, path, by_word=False).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in packed} == plain
+    for refused in (token_counts, pack_documents):
+        with pytest.raises(ValueError, match="white space"):
+            refused(docs, path)
 
 
 def test_scores_of_awkward_rows(docs, spark):
@@ -250,7 +305,6 @@ def test_held_out_toxicity(spark):
 
 def test_empty_tables(docs, labels, benchmark):
     none = docs.filter("false")
-    path = public_tokenizers.path("word_bpe_49k.json")
     for df in (
         suffix_dedup.remove_repeats(none),
         substring_dedup.remove_repeats(none),
@@ -260,8 +314,9 @@ def test_empty_tables(docs, labels, benchmark):
         contaminated(docs, benchmark.filter("false")),
         near_duplicates(none),
         one_of_each(none),
-        pack_documents(none),
-        token_counts(none, path),
+        pack_documents(none, WORD_BPE),
+        pack_documents(none, WORD_BPE, whole_rows=True),
+        token_counts(none, WORD_BPE),
         stupid_backoff(none, none),
         exact_duplicates(none),
         distinct_documents(none),

@@ -3,10 +3,12 @@
 from collections import Counter
 
 import duckdb
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
 import brute
+from tillroll.llm.packing import N_BUCKETS, TOKEN_BUDGET
 from tillroll.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -46,6 +48,21 @@ def test_query_equals_plain_version(name, columns, plain, spark, rows):
     assert Counter(map(tuple, found)) == Counter(plain(rows))
 
 
+def test_packing_equals_plain_version(spark, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    lengths = [(i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in rows]
+    columns = ("doc_id", "n_tokens", "bucket_len", "batch_id", "slot")
+    found = QUERIES["op7_packing"](spark, SF_DIR).select(*columns).collect()
+    bounds = sorted({r["bucket_len"] for r in found} - {0})
+    assert len(bounds) <= N_BUCKETS
+    assert Counter(map(tuple, found)) == Counter(brute.packing(lengths, bounds, TOKEN_BUDGET))
+    assert sum(r["bucket_len"] for r in found) == brute.least_padded([n for _, n in lengths], N_BUCKETS)
+    counts = QUERIES["op8_token_counts"](spark, SF_DIR).select("doc_id", "n_tokens").collect()
+    assert Counter(map(tuple, counts)) == Counter(lengths)
+
+
 def test_scores_equal_plain_version(spark, rows):
     found = {r["doc_id"]: r["score"] for r in QUERIES["op9_lm_scoring"](spark, SF_DIR).collect()}
     expected = {i: s for i, _, s in brute.backoff(rows)}
@@ -61,4 +78,6 @@ def test_pipeline_stages(spark):
         now = out.count()
         assert 0 < now <= left, name
         docs, left = out, now
-    assert corpus_pipeline.run(spark, SF_DIR).count() == left
+    result = corpus_pipeline.run(spark, SF_DIR)
+    assert result.columns == [*docs.columns, "n_tokens", "bucket_len", "batch_id", "slot"]
+    assert Counter(map(tuple, result.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))

@@ -50,11 +50,13 @@ def op6_ngram_jaccard_join(spark, sf_dir):
 
 
 def op7_packing(spark, sf_dir):
-    return pack_documents(documents(spark, sf_dir))
+    import public_tokenizers  # only this query and the next need the vocabulary files
+
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op8_token_counts(spark, sf_dir):
-    import public_tokenizers  # only this query needs the vocabulary files
+    import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
     counts = token_counts(documents(spark, sf_dir), path)

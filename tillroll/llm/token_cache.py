@@ -1,6 +1,7 @@
 """Token counts with a digest cache.
 
-A text's normalised content and the tokenizer's file each have a SHA-256 digest. The
+A text's normalised content and the tokenizer's file each have a SHA-256 digest. White
+space is normalised where the tokenizer's counts do not depend on it, else nothing is. The
 cache is a Parquet table (content, tokenizer, n_tokens) that only grows. Counting joins
 the texts' digests to it; of the texts not found, one for each distinct digest is encoded
 and its count appended. Copies are thus encoded once, and a text seen in an earlier call
@@ -14,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import Chunk, span_hashes, text_chunks, words
@@ -81,27 +82,66 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def _totals(path: str, by_word: bool, texts: pa.RecordBatch) -> pa.Array:
+    encoder = _encoder(path)
+    totals = np.zeros(texts.num_rows, dtype=np.int64)
+    for chunk in text_chunks(texts, "text"):
+        if by_word:
+            counts = encoder.count_words(chunk)
+        else:
+            spans = zip(chunk.starts, chunk.ends, strict=True)
+            counts = encoder.count([chunk.data[a:b].tobytes().decode() for a, b in spans])
+        totals[chunk.first : chunk.first + len(chunk.starts)] = counts
+    return pa.array(totals)
+
+
 def _count(path: str, by_word: bool):
     """Function for mapInArrow: (content, text) to (content, n_tokens)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
         for batch in batches:
-            totals = np.zeros(batch.num_rows, dtype=np.int64)
-            for chunk in text_chunks(batch, "text"):
-                spans = zip(chunk.starts, chunk.ends, strict=True)
-                totals[chunk.first : chunk.first + len(chunk.starts)] = (
-                    encoder.count_words(chunk)
-                    if by_word
-                    else encoder.count([chunk.data[a:b].tobytes().decode() for a, b in spans])
-                )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("content"), pa.array(totals)], names=["content", "n_tokens"]
+                [batch.column("content"), _totals(path, by_word, batch)],
+                names=["content", "n_tokens"],
             )
 
     return count
 
 
+def token_number(text: str, tokenizer_path: str, by_word: bool = True) -> Column:
+    """The number of tokens of a text column, as ``token_counts`` gives it, without a cache."""
+    if by_word:
+        refuse_across_words(tokenizer_path)
+
+    @F.arrow_udf("long")
+    def number(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return _totals(tokenizer_path, by_word, batch)
+
+    return number(text_or_empty(text))
+
+
+@lru_cache(maxsize=8)
+def refuse_across_words(path: str) -> None:
+    """Raise ValueError if the tokenizer counts words otherwise in a text than each alone.
+
+    It is tried on all pairs of a few words and single characters with every ASCII white
+    space and runs of it between, before and behind them.
+    """
+    encoder = _Encoder(path)
+    words = ["word", "Words", "x", "1", "2024", "'s", "...", "-", "(", "\u00e9t\u00e9", "\u4e2d\u6587"]
+    gaps = [" ", "\t", "\n", "\v", "\f", "\r", "  ", " \n", "\n\n", "\r\n", "\t "]
+    alone = dict(zip(words, encoder.count(words), strict=True))
+    texts, expected = [], []
+    for a in words:
+        for b in words:
+            for gap in gaps:
+                texts += [f"{a}{gap}{b}", f"{gap}{a}{gap}{b}{gap}"]
+                expected += [alone[a] + alone[b]] * 2
+    if encoder.count(texts) != expected:
+        raise ValueError(f"{path} has tokens that depend on white space: use by_word=False")
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     if folder_exists(spark, path):
         return spark.read.schema(CACHE_SCHEMA).parquet(path)
@@ -120,7 +160,8 @@ def token_counts(
 
     ``by_word`` is for tokenizers that never look across ASCII white space: a text's count
     is then the sum over its words, and a worker encodes a word once. Set it to False for
-    any other. ``tokenizer_path`` is a file of the tokenizers library that every executor has. A
+    any other: each distinct text is then encoded as it is. A tokenizer that shows in a trial
+    that it does look across is refused. Both kinds of counts may share a cache. ``tokenizer_path`` is a file of the tokenizers library that every executor has. A
     null text is empty and has no tokens. Counts leave out begin, end and other added
     tokens; special strings inside a text are what the library makes of them by default.
     ``cache_path`` is the cache, made if missing; without it the counts of this call go
@@ -130,10 +171,14 @@ def token_counts(
     spark = docs.sparkSession
     path = cache_path or f"{new_shared_folder(spark, 'token-cache')}/counts"
     version = tokenizer_digest(tokenizer_path)
+    content = F.col("text")
+    if by_word:
+        refuse_across_words(tokenizer_path)
+        content = F.trim(F.regexp_replace(content, SPACE, " "))
+    else:
+        version += "-whole"
     raw = docs.select(F.col(id_column).alias("doc_id"), text_or_empty(text).alias("text"))
-    keyed = raw.withColumn(
-        "content", F.unhex(F.sha2(F.encode(F.trim(F.regexp_replace("text", SPACE, " ")), "UTF-8"), 256))
-    )
+    keyed = raw.withColumn("content", F.unhex(F.sha2(F.encode(content, "UTF-8"), 256)))
     # A cache written by two calls at once can hold a digest twice.
     cached = (
         read_cache(spark, path)
