@@ -1,16 +1,20 @@
 """A corpus from raw documents: toxicity, exact and near copies, benchmark leaks, packing.
 
 Every stage takes the documents its predecessor kept, written as Parquet and read again.
-The first four return documents with unchanged columns; packing adds the batch columns.
+The first four return documents with unchanged columns; packing adds the columns of the batch.
 """
 
+import public_tokenizers
+
 from tillroll.llm.block_naming import distinct_documents
 from tillroll.llm.common import importable, saved
 from tillroll.llm.decontamination import without_contaminated
 from tillroll.llm.jaccard_join import one_of_each
-from tillroll.llm.packing import packed, word_lengths
+from tillroll.llm.packing import pack_documents
 from tillroll.llm.toxicity import without_toxic
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def toxicity_stage(spark, docs, sf_dir):
     importable(spark)
@@ -34,7 +38,7 @@ def decontamination_stage(spark, docs, sf_dir):
 
 def packing_stage(spark, docs, sf_dir):
     importable(spark)
-    return packed(word_lengths(docs))
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER), whole_rows=True)
 
 
 STAGES = [
