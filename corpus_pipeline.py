@@ -4,8 +4,6 @@ Every stage takes the documents its predecessor kept, written as Parquet and rea
 The first four return documents with unchanged columns; packing adds the columns of the batch.
 """
 
-import public_tokenizers
-
 from tillroll.llm.block_naming import distinct_documents
 from tillroll.llm.common import importable, saved
 from tillroll.llm.decontamination import without_contaminated
@@ -37,6 +35,8 @@ def decontamination_stage(spark, docs, sf_dir):
 
 
 def packing_stage(spark, docs, sf_dir):
+    import public_tokenizers  # only this stage needs the vocabulary files
+
     importable(spark)
     return pack_documents(docs, public_tokenizers.path(TOKENIZER), whole_rows=True)
 
