@@ -1,10 +1,17 @@
 """Language-model scores by stupid backoff, as joins of n-gram tables.
 
 The n-grams of the training texts are counted per order; every table is hash-partitioned
-by n-gram and also holds the count of the n-gram's history. Texts to score are exploded
-into their distinct n-grams, joined to the table of the highest order; those the table
-doesn't know go on to the next lower one at BACKOFF of its share. Scores are summed per
-document.
+by n-gram and also holds the counts of the n-gram's history, of its ending (the n-gram
+without its first word) and of the ending's history. Texts to score are exploded into their
+distinct n-grams of each order, joined to the table of that order and summed per document.
+
+An n-gram that a table knows has an ending that the table below knows. So every word starts
+from the share of the word alone, and each longer n-gram found adds what it is better than
+its ending: log share - log share of the ending - log BACKOFF. The sum is the stupid-backoff
+score, and n-grams that no table knows end at the join instead of going on to the next one.
+
+Orders above the first are worked off in ``slices`` of the hash space, one after the other,
+so that what lies on the executors' disks at one time is a part of the n-grams.
 
 A document that is scored by a model of which it is a part must not be its own evidence:
 its own counts are subtracted (``leave_out``), as if the model had been made without it.
@@ -18,13 +25,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.arrays import LOWER, Chunk, ngram_hashes, ragged, span_hashes, text_chunks, words
-from tillroll.llm.common import discard, saved, saved_at, text_or_empty
+from tillroll.llm.arrays import (
+    BASE,
+    LOWER,
+    Chunk,
+    mix,
+    ngram_hashes,
+    ragged,
+    span_hashes,
+    text_chunks,
+    words,
+)
+from tillroll.llm.common import discard, saved_at, text_or_empty
 
 ORDER = 3
 BACKOFF = 0.4
 #: What a word never seen counts.
 UNSEEN = 0.5
+SLICES = 4
+EXPLODED = ("doc", "rid", "g", "own", "own_past", "own_end", "own_past_end")
 
 
 def _word_hashes(chunk: Chunk):
@@ -33,10 +52,14 @@ def _word_hashes(chunk: Chunk):
     return span_hashes(data, found.starts, found.ends), found.first, found.stop
 
 
-def _grams(order: int):
-    """Function for mapInArrow: texts to (g, history, n), counts within a batch.
+def _in_slice(grams: np.ndarray, part: int, slices: int) -> np.ndarray:
+    return np.flatnonzero(grams % np.uint64(slices) == np.uint64(part))
+
 
-    An n-gram's history is the n-gram without its last word, 0 for a single word.
+def _grams(order: int, part: int, slices: int):
+    """Function for mapInArrow: texts to (g, history, ending, n), counts within a batch.
+
+    An n-gram's history lacks its last word, its ending the first; 0 for a single word.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,52 +67,29 @@ def _grams(order: int):
             for chunk in text_chunks(batch, "text"):
                 tokens, first, stop = _word_hashes(chunk)
                 at = ragged(first, np.maximum(stop - first - order + 1, 0))
+                grams = ngram_hashes(tokens, order)[at]
+                chosen = _in_slice(grams, part, slices)
                 grams, where, n = np.unique(
-                    ngram_hashes(tokens, order)[at], return_index=True, return_counts=True
+                    grams[chosen], return_index=True, return_counts=True
                 )
-                history = np.zeros(len(grams), dtype=np.uint64)
+                at = at[chosen][where]
+                history = ending = np.zeros(len(grams), dtype=np.uint64)
                 if order > 1:
-                    history = ngram_hashes(tokens, order - 1)[at[where]]
+                    shorter = ngram_hashes(tokens, order - 1)
+                    history, ending = shorter[at], shorter[at + 1]
+                arrays = [pa.array(x.view(np.int64)) for x in (grams, history, ending)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams.view(np.int64)), pa.array(history.view(np.int64)), pa.array(n)],
-                    names=["g", "history", "n"],
+                    [*arrays, pa.array(n)], names=["g", "history", "ending", "n"]
                 )
 
     return count
 
 
-def ngram_tables(train: DataFrame, text: str = "text", order: int = ORDER) -> list[DataFrame]:
-    """For each order from 1: g, n, n_history. All texts and all n-grams are counted."""
-    return _tables_at(train, text, order)[0]
-
+def _exploded(order: int, part: int, slices: int):
+    """Function for mapInArrow: rows to their distinct n-grams of one order.
 
-def _tables_at(train: DataFrame, text: str, order: int) -> tuple[list[DataFrame], list[str]]:
-    """The tables, and where the counts of each order lie; a table also reads the order below."""
-    rows = train.select(text_or_empty(text).alias("text"))
-    tables, paths, shorter = [], [], None
-    for k in range(1, order + 1):
-        counts = (
-            rows.mapInArrow(_grams(k), "g long, history long, n long")
-            .groupBy("g")
-            .agg(F.first("history").alias("history"), F.sum("n").alias("n"))
-        )
-        counts, path = saved_at(counts, f"grams-{k}", drop_shuffles=True)
-        paths.append(path)
-        if shorter is None:
-            total = counts.agg(F.sum("n")).first()[0] or 0
-            tables.append(counts.select("g", "n", F.lit(total).cast("long").alias("n_history")))
-        else:
-            history = shorter.select(F.col("g").alias("history"), F.col("n").alias("n_history"))
-            tables.append(counts.join(history, "history").select("g", "n", "n_history"))
-        shorter = counts
-    return tables, paths
-
-
-def _exploded(order: int):
-    """Function for mapInArrow: rows to their distinct n-grams of the highest order.
-
-    Beside each n-gram are its endings g1, g2, ..., how often the row has them (own1, ...)
-    and their histories (past1, ...). At a text's beginning longer ones are null.
+    Beside each n-gram is how often the row has it, its history, its ending and the ending's
+    history. Of the empty n-gram a row has as many as words.
     """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,45 +100,138 @@ def _exploded(order: int):
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 at = ragged(first, sizes)
                 place = at - first[row]
-                columns = {"n_words": sizes[row]}
-                before = sizes[row]  # how often the row has the history
-                missing = np.zeros(len(at), dtype=bool)
-                for k in range(1, order + 1):
-                    missing = place < k - 1
-                    grams = np.zeros(len(at), dtype=np.uint64)
-                    grams[~missing] = ngram_hashes(tokens, k)[at[~missing] - k + 1]
-                    pairs = np.empty(len(at), dtype=[("row", np.int64), ("g", np.uint64)])
-                    pairs["row"], pairs["g"] = row, grams
-                    distinct = np.lexsort((grams, row))
-                    fresh = np.ones(len(at), dtype=bool)
-                    fresh[1:] = pairs[distinct][1:] != pairs[distinct][:-1]
-                    group = np.empty(len(at), dtype=np.int64)
-                    group[distinct] = np.cumsum(fresh) - 1
-                    own = np.bincount(group, minlength=1)[group] if len(at) else before
-                    columns |= {f"g{k}": grams, f"own{k}": own, f"past{k}": before}
-                    columns[f"missing{k}"] = missing
-                    # The history of the next order's n-gram ends one word earlier.
-                    before = np.append(0, own[:-1]) if len(at) else own
-                # The rows of the last grouping: one for each distinct longest ending. Short
-                # ones, at the beginning, have the group of missing grams: keep each of them.
-                keep = np.ones(len(at), dtype=bool)
-                keep[distinct] = fresh
-                keep |= missing
-                n = np.where(missing, 1, own)[keep]
-                take = pa.array(row[keep] + chunk.first)
-                arrays = [batch.column("doc").take(take), batch.column("rid").take(take), pa.array(n)]
-                arrays.append(pa.array(columns["n_words"][keep]))
-                for k in range(1, order + 1):
-                    gone = columns[f"missing{k}"][keep]
-                    arrays.append(pa.array(columns[f"g{k}"][keep].view(np.int64), mask=gone))
-                    arrays += [pa.array(columns[f"{c}{k}"][keep]) for c in ("own", "past")]
-                names = ["doc", "rid", "n", "n_words"]
-                names += [f"{c}{k}" for k in range(1, order + 1) for c in ("g", "own", "past")]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                salt = mix(row.astype(np.uint64) * BASE)
+
+                def ending_at(k: int, places: np.ndarray) -> np.ndarray:
+                    """The n-grams of k words that end at these places."""
+                    return ngram_hashes(tokens, k)[at[places] - k + 1]
+
+                def own(k: int) -> np.ndarray:
+                    """For each place, how often its row has the n-gram of k words ending there."""
+                    if k <= 0:
+                        return sizes[row]
+                    places = np.flatnonzero(place >= k - 1)
+                    _, group, n = np.unique(
+                        mix(ending_at(k, places) ^ salt[places]),
+                        return_inverse=True,
+                        return_counts=True,
+                    )
+                    counts = np.zeros(len(at), dtype=np.int64)
+                    counts[places] = n[group]
+                    return counts
+
+                places = np.flatnonzero(place >= order - 1)
+                grams = ending_at(order, places)
+                chosen = _in_slice(grams, part, slices)
+                places, grams = places[chosen], grams[chosen]
+                _, where, n = np.unique(
+                    mix(grams ^ salt[places]), return_index=True, return_counts=True
+                )
+                by_row = np.argsort(where)
+                places, grams, n = places[where[by_row]], grams[where[by_row]], n[by_row]
+                before = places - 1 if order > 1 else places
+                shorter = own(order - 1)
+                take = pa.array(row[places] + chunk.first)
+                counts = (n, shorter[before], shorter[places], own(order - 2)[before])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc").take(take),
+                        batch.column("rid").take(take),
+                        pa.array(grams.view(np.int64)),
+                        *(pa.array(x) for x in counts),
+                    ],
+                    names=list(EXPLODED),
+                )
 
     return explode
 
 
+class _Tables:
+    """The n-gram tables of one order after the other, slice by slice.
+
+    Only n-grams that occur ``least`` times are kept: with a document's own counts left out,
+    one that occurs once is evidence for nobody.
+    """
+
+    def __init__(self, train: DataFrame, text: str, least: int):
+        self.rows = train.select(text_or_empty(text).alias("text"))
+        self.spark, self.least = train.sparkSession, least
+        self.total = 0
+
+    def counts(self, order: int, part: int, slices: int) -> DataFrame:
+        return (
+            self.rows.mapInArrow(
+                _grams(order, part, slices), "g long, history long, ending long, n long"
+            )
+            .groupBy("g")
+            .agg(
+                F.first("history").alias("history"),
+                F.first("ending").alias("ending"),
+                F.sum("n").alias("n"),
+            )
+        )
+
+    def single_words(self) -> tuple[DataFrame, str]:
+        counts, path = saved_at(self.counts(1, 0, 1), "grams-1", drop_shuffles=True)
+        self.total = counts.agg(F.sum("n")).first()[0] or 0
+        none = F.lit(None).cast("long")
+        return counts.select(
+            "g",
+            "n",
+            F.lit(self.total).cast("long").alias("past"),
+            none.alias("n_end"),
+            none.alias("past_end"),
+        ), path
+
+    def longer(
+        self, order: int, part: int, slices: int, lower: DataFrame
+    ) -> tuple[DataFrame, str]:
+        """One slice: g, n, past, n_end, past_end. ``lower`` is the whole table below."""
+        counts = self.counts(order, part, slices).filter(F.col("n") >= self.least)
+        counts, path = saved_at(counts, f"counts-{order}", drop_shuffles=True)
+        history = lower.select(F.col("g").alias("history"), F.col("n").alias("past"))
+        ending = lower.select(
+            F.col("g").alias("ending"), F.col("n").alias("n_end"), F.col("past").alias("past_end")
+        )
+        table = counts.join(history, "history").join(ending, "ending")
+        table = table.select("g", "n", "past", "n_end", "past_end")
+        table, table_path = saved_at(table, f"grams-{order}", drop_shuffles=True)
+        discard(self.spark, path)
+        return table, table_path
+
+
+def _summed(
+    exploded: DataFrame, table: DataFrame, k: int, order: int, leave_out: bool, total: int
+) -> DataFrame:
+    """doc, rid, score, n, n_words: what the n-grams of order ``k`` add to each row's score."""
+
+    def others(counted: str, own: str, absent: Column | None = None) -> Column:
+        count = F.col(counted) if absent is None else F.coalesce(counted, absent)
+        return (count - F.col(own) if leave_out else count).cast("double")
+
+    if k == 1:
+        n = F.greatest(others("n", "own", F.lit(0)), F.lit(UNSEEN))
+        past = F.greatest(others("past", "own_past", F.lit(total)), F.lit(1.0))
+        met = exploded.join(table, "g", "left").withColumn(
+            "gain", F.log(n / past) + math.log(BACKOFF) * (order - 1)
+        )
+        words_counted, n_words = F.sum("own"), F.max("own_past")
+    else:
+        n, past = others("n", "own"), others("past", "own_past")
+        n_end, past_end = others("n_end", "own_end"), others("past_end", "own_past_end")
+        met = (
+            exploded.join(table, "g")
+            .filter((n > 0) & (past > 0) & (n_end > 0) & (past_end > 0))
+            .withColumn("gain", F.log(n / past) - F.log(n_end / past_end) - math.log(BACKOFF))
+        )
+        words_counted = n_words = F.lit(0).cast("long")
+    return met.groupBy("doc", "rid").agg(
+        F.sum(F.col("own") * F.col("gain")).alias("score"),
+        words_counted.alias("n"),
+        n_words.alias("n_words"),
+    )
+
+
 def stupid_backoff(
     docs: DataFrame,
     train: DataFrame,
@@ -146,75 +239,51 @@ def stupid_backoff(
     id_column: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
+    slices: int = SLICES,
 ) -> DataFrame:
     """doc_id, n_words, score (sum of natural logarithms), mean_score; one row for each row.
 
-    Words are what stands between ASCII white space, A-Z lower-cased. ``leave_out`` says
-    that ``docs`` are part of ``train``. A word the model lacks counts UNSEEN times. A
-    text without words, or null, has score 0 and no mean. Sums are rounded to 6 digits.
+    Words are what stands between ASCII white space, A-Z lower-cased. ``leave_out`` needs
+    ``docs`` to be part of ``train``. A word the model lacks counts UNSEEN times. A text
+    without words, or null, has score 0 and no mean. Sums are rounded to 6 digits.
+
+    ``slices`` is into how many parts the n-grams of an order are cut: more of them need
+    less disk and read the texts more often; the result does not depend on it.
     """
-    tables, table_paths = _tables_at(train, text, order)
+    spark = docs.sparkSession
     keyed = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
     )
     keyed = keyed.withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn(
         "rid", F.xxhash64("doc", "text")
     )
-    fields = [f"g{k} long, own{k} long, past{k} long" for k in range(1, order + 1)]
-    left = keyed.select("doc", "rid", "text").mapInArrow(
-        _exploded(order), f"doc long, rid long, n long, n_words long, {', '.join(fields)}"
-    )
-    total = tables[0].select("n_history").first()
-    words_in_all = F.lit(float(total[0] if total else 0))
-    spark, sums, met_path = docs.sparkSession, [], None
-
-    def own(column: str) -> Column:
-        return F.col(column) if leave_out else F.lit(0)
-
-    for k in range(order, 0, -1):
-        table = tables[k - 1].select(F.col("g").alias(f"g{k}"), F.col("n").alias("c"), "n_history")
-        met = left.join(table, f"g{k}", "left")
-        count = F.coalesce("c", F.lit(0)) - own(f"own{k}")
-        past = F.coalesce(F.col("n_history"), words_in_all) - own(f"past{k}")
-        scale = math.log(BACKOFF) * (order - k)
-        if k == 1:
-            share = F.greatest(count.cast("double"), F.lit(UNSEEN)) / F.greatest(past, F.lit(1.0))
-        else:
-            share = count / past
-        met = met.withColumn("known", (count > 0) & (past > 0) if k > 1 else F.lit(True))
-        lower = [f"{c}{j}" for j in range(1, k) for c in ("g", "own", "past")]
-        met = met.select(
-            "doc",
-            "rid",
-            "n",
-            "n_words",
-            "known",
-            F.when(F.col("known"), share).alias("share"),
-            # Only what goes on to the next order needs its columns.
-            *(F.when(~F.col("known"), F.col(c)).alias(c) for c in lower),
-        )
-        if k > 1:
-            before, (met, met_path) = met_path, saved_at(met, f"order-{k}", drop_shuffles=True)
-            for path in (before, table_paths[k - 1]):
-                if path:
-                    discard(spark, path)
-        part = (
-            met.filter("known")
-            .groupBy("doc", "rid")
-            .agg(
-                F.sum(F.col("n") * (F.log("share") + scale)).alias("score"),
-                F.sum("n").alias("n"),
-                F.max("n_words").alias("n_words"),
+    rows = keyed.select("doc", "rid", "text")
+    tables = _Tables(train, text, 2 if leave_out else 1)
+    lower, path = tables.single_words()
+    below, scores = [path], None
+    for k in range(1, order + 1):
+        now, paths = None, []
+        for part in range(slices if k > 1 else 1):
+            table = lower
+            if k > 1:
+                table, path = tables.longer(k, part, slices, lower)
+                paths.append(path)
+                now = table if now is None else now.unionAll(table)
+            exploded = rows.mapInArrow(
+                _exploded(k, part, slices if k > 1 else 1),
+                ", ".join(f"{c} long" for c in EXPLODED),
             )
-        )
-        sums.append(saved(part, f"scores-{k}"))
-        left = met.filter("NOT known").select("doc", "rid", "n", "n_words", *lower)
-    for path in (met_path, table_paths[0]):
-        if path:
-            discard(spark, path)
-    scores = sums[0]
-    for part in sums[1:]:
-        scores = scores.unionAll(part)
+            part_sums = _summed(exploded, table, k, order, leave_out, tables.total)
+            part_sums = saved_at(part_sums, f"scores-{k}", drop_shuffles=True)[0]
+            scores = part_sums if scores is None else scores.unionAll(part_sums)
+            if k == order and k > 1:
+                discard(spark, paths.pop())
+        if k > 1:
+            for path in below:
+                discard(spark, path)
+            lower, below = now, paths
+    for path in below:
+        discard(spark, path)
     # Rows that repeat a doc_id and a text were summed together.
     scores = scores.groupBy("doc", "rid").agg(
         (F.sum("score") * F.max("n_words") / F.sum("n")).alias("score"),
