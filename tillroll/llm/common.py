@@ -1,7 +1,7 @@
 """What the operators share: reading, folders, row keys."""
 
 from collections.abc import Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from tillroll.sources.paths import new_shared_folder
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+HASH_JOIN_LIMIT = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+PARTITION_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def importable(spark: SparkSession) -> None:
@@ -43,32 +45,41 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def saved_at(
-    df: DataFrame, purpose: str, *partitions: str, drop_shuffles: bool = False
+    df: DataFrame,
+    purpose: str,
+    *partitions: str,
+    drop_shuffles: bool = False,
+    hash_joins: bool = False,
 ) -> tuple[DataFrame, str]:
     """As ``saved``, with the folder, which ``discard`` takes once nothing reads it.
 
-    ``drop_shuffles`` is for steps that shuffle more than they write.
+    ``drop_shuffles`` is for steps that shuffle more than they write. Spark else keeps the
+    files until the driver collects the frame as garbage, so that the steps of an operator
+    add up on the executors' disks; a written result needs them no more. ``hash_joins``
+    joins without sorting where each partition of a side was measured to be small.
     """
     spark = df.sparkSession
     path = f"{new_shared_folder(spark, purpose)}/rows"
-    with _shuffles_dropped(spark) if drop_shuffles else nullcontext():
+    settings = {}
+    if drop_shuffles:
+        settings[SHUFFLE_CLEANUP] = "true"
+    if hash_joins:
+        settings[HASH_JOIN_LIMIT] = spark.conf.get(PARTITION_SIZE)
+    with _settings(spark, settings):
         df.write.partitionBy(*partitions).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 @contextmanager
-def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Drop the shuffle files of a query when it ends.
-
-    Spark else keeps them until the driver collects the frame as garbage, so that the steps
-    of an operator add up on the executors' disks. A written result needs them no more.
-    """
-    before = spark.conf.get(SHUFFLE_CLEANUP)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def discard(spark: SparkSession, path: str) -> None:

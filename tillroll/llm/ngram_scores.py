@@ -42,7 +42,7 @@ ORDER = 3
 BACKOFF = 0.4
 #: What a word never seen counts.
 UNSEEN = 0.5
-SLICES = 4
+SLICES = 2
 EXPLODED = ("doc", "rid", "g", "own", "own_past", "own_end", "own_past_end")
 
 
@@ -195,7 +195,7 @@ class _Tables:
         )
         table = counts.join(history, "history").join(ending, "ending")
         table = table.select("g", "n", "past", "n_end", "past_end")
-        table, table_path = saved_at(table, f"grams-{order}", drop_shuffles=True)
+        table, table_path = saved_at(table, f"grams-{order}", drop_shuffles=True, hash_joins=True)
         discard(self.spark, path)
         return table, table_path
 
@@ -274,7 +274,9 @@ def stupid_backoff(
                 ", ".join(f"{c} long" for c in EXPLODED),
             )
             part_sums = _summed(exploded, table, k, order, leave_out, tables.total)
-            part_sums = saved_at(part_sums, f"scores-{k}", drop_shuffles=True)[0]
+            part_sums = saved_at(
+                part_sums, f"scores-{k}", drop_shuffles=True, hash_joins=True
+            )[0]
             scores = part_sums if scores is None else scores.unionAll(part_sums)
             if k == order and k > 1:
                 discard(spark, paths.pop())
