@@ -64,27 +64,30 @@ def jaccard(rows, n=3):
         yield doc_id, len(sets[i]), rows[root(i)][0]
 
 
-def backoff(rows, order=3, alpha=0.4, unseen=0.5):
-    """doc_id, n_words, score of each row by the model of all other rows."""
+def backoff(rows, order=3, alpha=0.4, unseen=0.5, train=None):
+    """doc_id, n_words, score of each row by the model of ``train``, or of all other rows."""
     from collections import Counter
     from math import log
 
-    texts = []
-    for _, text in rows:
+    def split(text):
         lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
-        texts.append(tuple(WORD.findall(lower)))
-    own = []
-    for w in texts:
-        own.append(Counter(w[i : i + k] for k in range(1, order + 1) for i in range(len(w) - k + 1)))
-    full = sum(own, Counter())
-    n_all = sum(map(len, texts))
-    for (doc_id, _), w, mine in zip(rows, texts, own, strict=True):
+        return tuple(WORD.findall(lower))
+
+    def counted(w):
+        return Counter(w[i : i + k] for k in range(1, order + 1) for i in range(len(w) - k + 1))
+
+    texts = [split(text) for _, text in rows]
+    learned = texts if train is None else [split(text) for _, text in train]
+    full = sum(map(counted, learned), Counter())
+    n_all = sum(map(len, learned))
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        mine = counted(w) if train is None else Counter()
         score = 0.0
         for i in range(len(w)):
             for k in range(min(order, i + 1), 0, -1):
                 g = w[i + 1 - k : i + 1]
                 count = full[g] - mine[g]
-                past = full[g[:-1]] - mine[g[:-1]] if k > 1 else n_all - len(w)
+                past = full[g[:-1]] - mine[g[:-1]] if k > 1 else n_all - (len(w) if train is None else 0)
                 if k == 1:
                     count, past = max(count, unseen), max(past, 1)
                 if count > 0 and past > 0:

@@ -287,6 +287,20 @@ def test_scores_of_awkward_rows(docs, spark):
         assert found[doc_id]["score"] == pytest.approx(score, abs=1e-5, rel=1e-9)
 
 
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_scores_of_other_texts(docs, spark, order):
+    """Texts the model was not made of, at several orders; more slices change nothing."""
+    rows = [(1, PASSAGE), (2, "word word word then leaves"), (3, ""), (4, None), (5, "never seen"), (None, "word")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    found = stupid_backoff(texts, docs, leave_out=False, order=order, slices=order // 2 + 1).collect()
+    expected = {i: (n, s) for i, n, s in brute.backoff(rows, order, train=ROWS)}
+    assert len(found) == len(rows)
+    for r in found:
+        n, score = expected[r["doc_id"]]
+        assert r["n_words"] == n
+        assert r["score"] == pytest.approx(score, abs=1e-5, rel=1e-9)
+
+
 def test_toxicity_of_awkward_rows(docs, labels):
     rows = toxicity(docs, labels).collect()
     assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)

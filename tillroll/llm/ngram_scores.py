@@ -10,8 +10,8 @@ from the share of the word alone, and each longer n-gram found adds what it is b
 its ending: log share - log share of the ending - log BACKOFF. The sum is the stupid-backoff
 score, and n-grams that no table knows end at the join instead of going on to the next one.
 
-Orders above the first are worked off in ``slices`` of the hash space, one after the other,
-so that what lies on the executors' disks at one time is a part of the n-grams.
+The n-grams of ``k`` words are worked off in ``k`` slices of the hash space, one after the
+other, so that what lies on the executors' disks at one time is about the same for all orders.
 
 A document that is scored by a model of which it is a part must not be its own evidence:
 its own counts are subtracted (``leave_out``), as if the model had been made without it.
@@ -42,7 +42,6 @@ ORDER = 3
 BACKOFF = 0.4
 #: What a word never seen counts.
 UNSEEN = 0.5
-SLICES = 2
 EXPLODED = ("doc", "rid", "g", "own", "own_past", "own_end", "own_past_end")
 
 
@@ -57,7 +56,7 @@ def _in_slice(grams: np.ndarray, part: int, slices: int) -> np.ndarray:
 
 
 def _grams(order: int, part: int, slices: int):
-    """Function for mapInArrow: texts to (g, history, ending, n), counts within a batch.
+    """Function for mapInArrow: texts to (g, history, ending, n), part of the counts.
 
     An n-gram's history lacks its last word, its ending the first; 0 for a single word.
     """
@@ -69,14 +68,14 @@ def _grams(order: int, part: int, slices: int):
                 at = ragged(first, np.maximum(stop - first - order + 1, 0))
                 grams = ngram_hashes(tokens, order)[at]
                 chosen = _in_slice(grams, part, slices)
-                grams, where, n = np.unique(
-                    grams[chosen], return_index=True, return_counts=True
-                )
-                at = at[chosen][where]
-                history = ending = np.zeros(len(grams), dtype=np.uint64)
-                if order > 1:
+                at, grams = at[chosen], grams[chosen]
+                if order > 1:  # few repeat in a chunk; the aggregate combines them
                     shorter = ngram_hashes(tokens, order - 1)
                     history, ending = shorter[at], shorter[at + 1]
+                    n = np.ones(len(grams), dtype=np.int64)
+                else:
+                    grams, n = np.unique(grams, return_counts=True)
+                    history = ending = np.zeros(len(grams), dtype=np.uint64)
                 arrays = [pa.array(x.view(np.int64)) for x in (grams, history, ending)]
                 yield pa.RecordBatch.from_arrays(
                     [*arrays, pa.array(n)], names=["g", "history", "ending", "n"]
@@ -239,7 +238,7 @@ def stupid_backoff(
     id_column: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
-    slices: int = SLICES,
+    slices: int = 1,
 ) -> DataFrame:
     """doc_id, n_words, score (sum of natural logarithms), mean_score; one row for each row.
 
@@ -247,8 +246,8 @@ def stupid_backoff(
     ``docs`` to be part of ``train``. A word the model lacks counts UNSEEN times. A text
     without words, or null, has score 0 and no mean. Sums are rounded to 6 digits.
 
-    ``slices`` is into how many parts the n-grams of an order are cut: more of them need
-    less disk and read the texts more often; the result does not depend on it.
+    ``slices`` times as many slices need less disk and read the texts more often; the result
+    does not depend on it.
     """
     spark = docs.sparkSession
     keyed = docs.select(
@@ -262,15 +261,15 @@ def stupid_backoff(
     lower, path = tables.single_words()
     below, scores = [path], None
     for k in range(1, order + 1):
-        now, paths = None, []
-        for part in range(slices if k > 1 else 1):
+        now, paths, parts = None, [], slices * k if k > 1 else 1
+        for part in range(parts):
             table = lower
             if k > 1:
-                table, path = tables.longer(k, part, slices, lower)
+                table, path = tables.longer(k, part, parts, lower)
                 paths.append(path)
                 now = table if now is None else now.unionAll(table)
             exploded = rows.mapInArrow(
-                _exploded(k, part, slices if k > 1 else 1),
+                _exploded(k, part, parts),
                 ", ".join(f"{c} long" for c in EXPLODED),
             )
             part_sums = _summed(exploded, table, k, order, leave_out, tables.total)
