@@ -71,3 +71,18 @@ def test_groups_are_combined_before_the_shuffle(spark):
     plan = averages(frame, ["k"], "v", "a", COUNT)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.rindex("Exchange hashpartitioning") :]
     assert "partial_sum(_mantissa" in below
+
+
+def test_each_row_takes_one_logarithm_and_two_powers(spark):
+    """Worked out again at each mention, they were most of the time of a report."""
+    frame = spark.range(100).selectExpr("id % 2 AS k", "CAST(id AS DOUBLE) AS v")
+    plan = averages(frame, ["k"], "v", "a", COUNT)._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert before_shuffle.upper().count("LOG2(") == 1
+    assert before_shuffle.upper().count("POWER(") + before_shuffle.upper().count("POW(") == 2
+    assert "decimal" not in before_shuffle
+
+
+def test_sums_beyond_a_long(spark):
+    values = [2.0**53 - 1] * 5000 + [-(2.0**53 - 1)] * 10
+    assert average(spark, values) == float((2**53 - 1) * 4990) / 5010
