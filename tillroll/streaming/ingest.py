@@ -10,6 +10,7 @@ Copies inside one batch are all kept unless ``drop_batch_copies`` is set.
 
 import logging
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tillroll.schema import BATCH_ID, PROCESSED_TIME, REJECTED, STREAM_ID
 from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER, stream_orders_csv
 from tillroll.sources.orders_table import OrdersTable
-from tillroll.sources.paths import ensure_folder
+from tillroll.sources.paths import ensure_folder, files_and_bytes
 
 log = logging.getLogger(__name__)
 
@@ -147,13 +148,24 @@ def start_ingest(
     bytes_per_trigger: int | None = None,
     drain: bool = False,
     interval: str = TRIGGER_INTERVAL,
+    backlog_batches: int | None = None,
     **csv_options: str,
 ) -> StreamingQuery:
     """Start the stream; it looks for files every ``interval`` until stopped or, with
     ``drain``, until the inbox is used up. Progress is kept in a folder of the checkpoint
     path. ``csv_options`` are those of Spark's CSV reader, say ``ANY_TEXT``.
+
+    Every batch is checked against the whole history, so a backlog in batches of a fixed size
+    costs the square of its size. With ``drain`` and ``backlog_batches`` batches grow with the
+    inbox instead, so that about so many use it up, or fewer of the size given.
     """
     ensure_folder(spark, inbox)
+    if drain and backlog_batches:
+        files, size = files_and_bytes(spark, inbox)
+        if files_per_trigger is not None:
+            files_per_trigger = max(files_per_trigger, ceil(files / backlog_batches))
+        if bytes_per_trigger is not None:
+            bytes_per_trigger = max(bytes_per_trigger, ceil(size / backlog_batches))
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     rows = stream_orders_csv(
         spark, inbox, files_per_trigger, bytes_per_trigger, rejected=True, **csv_options

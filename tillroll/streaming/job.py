@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--metrics", help="folder for one metrics row per batch")
     parser.add_argument("--bytes-per-trigger", type=int, help="bound batches by size, not files")
     parser.add_argument("--drain", action="store_true", help="stop when the inbox is used up")
+    parser.add_argument("--backlog-batches", type=int,
+                        help="with --drain: batches may grow so that these suffice")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("orders-ingest").getOrCreate()
@@ -41,7 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     files = None if args.bytes_per_trigger else FILES_PER_TRIGGER
     text = ANY_TEXT if args.any_text else {}
     query = start_ingest(
-        spark, inbox, checkpoint, ingest, files, args.bytes_per_trigger, args.drain, args.interval, **text
+        spark, inbox, checkpoint, ingest, files, args.bytes_per_trigger, args.drain,
+        args.interval, args.backlog_batches, **text
     )
     run_until_stopped(spark, query, args.stop_file)
 
