@@ -1,7 +1,9 @@
 import pytest
+from helpers import orders
 from test_ingest import Pipeline, ids
 
 from tillroll.registry import queries
+from tillroll.sources.orders_table import OrdersTable
 from tillroll.sources.paths import files_and_bytes
 from tillroll.streaming.ingest import read_metrics, start_ingest
 
@@ -27,3 +29,15 @@ def test_batches_of_the_stream_queries_grow_with_the_inbox(spark, monkeypatch):
     found = read_metrics(spark, metrics).collect()
     assert 2 <= len(found) <= queries.BACKLOG_BATCHES
     assert sum(r.new_rows for r in found) == table.read(spark).count()
+
+
+@pytest.mark.parametrize("cluster", [False, True])
+def test_an_append_counts_its_rows_without_keeping_them(spark, tmp_path, monkeypatch, cluster):
+    def refused(self, *_):
+        raise AssertionError("persisted")
+
+    monkeypatch.setattr(type(orders(spark, {})), "persist", refused)
+    table = OrdersTable(str(tmp_path / "orders"), cluster=cluster)
+    rows = orders(spark, *ids(*range(50))).repartition(4)
+    assert [table.append(rows), table.append(rows), table.append(rows.limit(0))] == [50, 50, 0]
+    assert table.read(spark).count() == 100
