@@ -41,3 +41,9 @@ def test_an_append_counts_its_rows_without_keeping_them(spark, tmp_path, monkeyp
     rows = orders(spark, *ids(*range(50))).repartition(4)
     assert [table.append(rows), table.append(rows), table.append(rows.limit(0))] == [50, 50, 0]
     assert table.read(spark).count() == 100
+
+
+def test_the_index_query_joins_its_tables_once(spark):
+    """Every pass over the orders would shuffle the joined tables again."""
+    files = queries.dedup_against_index(spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not any("lineitem" in file for file in files)
