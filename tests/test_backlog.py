@@ -1,11 +1,12 @@
 import pytest
-from helpers import orders
+from helpers import bag, orders
+from pyspark.sql import functions as F
 from test_ingest import Pipeline, ids
 
 from tillroll.registry import queries
 from tillroll.sources.orders_table import OrdersTable
 from tillroll.sources.paths import files_and_bytes
-from tillroll.streaming.ingest import read_metrics, start_ingest
+from tillroll.streaming.ingest import BatchMetrics, Ingest, read_metrics, start_ingest
 
 
 @pytest.mark.parametrize("bounds", [{"files_per_trigger": 2}, {"files_per_trigger": None, "bytes_per_trigger": 1}])
@@ -31,6 +32,60 @@ def test_batches_of_the_stream_queries_grow_with_the_inbox(spark, monkeypatch):
     assert sum(r.new_rows for r in found) == table.read(spark).count()
 
 
+def _refused(self, *_):
+    raise AssertionError("persisted")
+
+
+@pytest.mark.parametrize("store_hash", [False, True])
+@pytest.mark.parametrize("drop_batch_copies", [False, True])
+def test_large_batches_of_a_backlog_are_read_once(
+    spark, tmp_path, monkeypatch, store_hash, drop_batch_copies
+):
+    """Keeping and counting each batch before its check cost as much as the check itself."""
+    found = []
+    for once in (False, True):
+        base = tmp_path / str(once)
+        options = {"store_hash": store_hash, "drop_batch_copies": drop_batch_copies}
+        pipeline = Pipeline(spark, base, **options, broadcast_limit=0 if once else 1_000)
+        base.mkdir()
+        # Copies beside each other, in another batch, and cells that do not convert.
+        for name in ("a", "b", "c"):
+            pipeline.deliver(name, *ids(*range(12), *range(12)), {"age": 30 + ord(name)})
+            (base / "inbox" / f"{name}-bad.csv").write_text("header\n7,young\n" + "8,young\n" * 2)
+        with monkeypatch.context() as patched:
+            if once:
+                patched.setattr(type(orders(spark, {})), "persist", _refused)
+            for checkpoint in ("first", "second"):
+                start_ingest(
+                    spark, pipeline.inbox, f"{base}/{checkpoint}", pipeline.ingest,
+                    drain=True, files_per_trigger=2, backlog_batches=3,
+                ).awaitTermination()
+        rows = pipeline.rows().drop("processed_time")
+        metrics = read_metrics(spark, pipeline.metrics).agg(
+            *(F.sum(n) for n in ("received", "new_rows", "duplicates", "rejected"))
+        )
+        found.append((bag(rows), metrics.first()))
+        assert metrics.first()[0] == 2 * 3 * 28
+        assert metrics.first()[3] == 2 * 3 * 3
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("drop_batch_copies", [False, True])
+def test_a_batch_read_once_replaces_its_first_attempt(spark, tmp_path, drop_batch_copies):
+    table = OrdersTable(str(tmp_path / "orders"), store_hash=True)
+    ingest = Ingest(table, drop_batch_copies=drop_batch_copies, stream_id="s", one_pass=True)
+    first, second = orders(spark, *ids(1, 2, 2)), orders(spark, *ids(2, 3, 3))
+    kept = 2 if drop_batch_copies else 3
+    assert ingest.handle(first, 0) == BatchMetrics(0, 3, kept)
+    for _ in range(2):
+        assert ingest.handle(second, 1) == BatchMetrics(1, 3, kept - 1)
+    assert ingest.handle(first.limit(0), 2) == BatchMetrics(2, 0, 0)
+    assert ingest.handle(first.union(second), 3) == BatchMetrics(3, 6, 0)
+    stored = table.read(spark)
+    assert stored.count() == 2 * kept - 1
+    assert stored.filter("loyalty_score is null or is_anomaly is null").count() == 0
+
+
 @pytest.mark.parametrize("cluster", [False, True])
 def test_an_append_counts_its_rows_without_keeping_them(spark, tmp_path, monkeypatch, cluster):
     def refused(self, *_):

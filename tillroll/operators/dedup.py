@@ -69,3 +69,12 @@ def drop_known_rows(
     sent = F.broadcast(batch.select(ROW_HASH))
     hits = known.join(sent, ROW_HASH, "left_semi").distinct()
     return batch.join(F.broadcast(hits), ROW_HASH, "left_anti")
+
+
+def mark_known_rows(batch: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """The batch with a column that says whether ``known`` has the ``row_hash``.
+
+    Batch and distinct hashes are shuffled, as in ``drop_known_rows`` beyond its limit.
+    """
+    marks = known.distinct().hint("merge").withColumn(name, F.lit(True))
+    return batch.join(marks, ROW_HASH, "left").withColumn(name, F.col(name).isNotNull())

@@ -6,13 +6,16 @@ table of files and the metrics come out as from one delivery. In a connector's t
 rows are found by their hash and are not written twice. An equal row in a later batch is
 dropped even if it is a real repeat purchase: the hash holds no order number and no time.
 Copies inside one batch are all kept unless ``drop_batch_copies`` is set.
+
+A batch is kept in memory, counted, checked and written. Large ones of a drained backlog are
+read once instead: they are counted in the tasks that write them, and enriched only there.
 """
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -23,10 +26,11 @@ from tillroll.operators.dedup import (
     drop_copies,
     drop_known_rows,
     hashes_of,
+    mark_known_rows,
     with_row_hash,
 )
 from tillroll.operators.enrich import enrich_orders
-from tillroll.schema import BATCH_ID, PROCESSED_TIME, REJECTED, STREAM_ID
+from tillroll.schema import BATCH_ID, COMPUTED_COLUMNS, PROCESSED_TIME, REJECTED, ROW_HASH, STREAM_ID
 from tillroll.sources.hash_index import HashIndex
 from tillroll.sources.orders_csv import FILES_PER_TRIGGER, stream_orders_csv
 from tillroll.sources.orders_table import OrdersTable
@@ -40,6 +44,9 @@ TRIGGER_INTERVAL = "15 seconds"
 #: Spark's own name for the id that a query keeps in its checkpoint.
 QUERY_ID = "sql.streaming.queryId"
 
+#: Bytes of an order in a file, to guess how many rows a batch will have.
+ROW_BYTES = 100
+
 METRICS_SCHEMA = StructType(
     [StructField(STREAM_ID, StringType())]
     + [StructField(n, LongType()) for n in (BATCH_ID, "received", "new_rows", "duplicates", "rejected")]
@@ -69,7 +76,9 @@ class Ingest:
     its row. ``stream_id`` tells streams apart; left out, it is the id that the stream keeps
     in its checkpoint, which stays the same over restarts. With an ``index`` a batch is
     checked against that, and not against the table; it must hold the table's hashes
-    (``HashIndex.rebuild``) if rows were written without it.
+    (``HashIndex.rebuild``) if rows were written without it. With ``one_pass`` a batch for an
+    unclustered table of files is shuffled to the check, whatever its size, and not kept; the
+    counts come out the same.
     """
 
     table: OrdersTable
@@ -78,34 +87,71 @@ class Ingest:
     broadcast_limit: int = BROADCAST_LIMIT
     stream_id: str | None = None
     index: HashIndex | None = None
+    one_pass: bool = False
+
+    @property
+    def reads_once(self) -> bool:
+        return self.one_pass and self.table.is_files and not (self.table.cluster or self.index)
 
     def handle(self, batch: DataFrame, batch_id: int) -> BatchMetrics:
-        """Append the rows of an enriched batch that the table does not have yet."""
+        """Append the rows of an aligned or enriched batch that the table does not have yet."""
         spark = batch.sparkSession
         stream = self.stream_id or spark.sparkContext.getLocalProperty(QUERY_ID) or "direct"
-        hashed = with_row_hash(batch).persist()
-        faulty = F.count(REJECTED) if REJECTED in batch.columns else F.lit(0)
+        write = self._write_once_read if self.reads_once else self._write_kept
+        metrics = BatchMetrics(batch_id, *write(batch, stream, batch_id))
+        log.info("%s, %s duplicates", metrics, metrics.duplicates)
+        if self.metrics_path:
+            self._record(spark, stream, metrics)
+        return metrics
+
+    def _write_kept(self, batch: DataFrame, stream: str, batch_id: int) -> tuple[int, int, int]:
+        """Rows received, new and rejected of a batch that is kept until it is written."""
+        hashed = with_row_hash(_enriched(batch)).persist()
         try:
-            received, rejected = hashed.agg(F.count(F.lit(1)), faulty).first()
+            received, rejected = hashed.agg(F.count(F.lit(1)), _rejected(batch)).first()
             rows = hashed.drop(REJECTED)
             new_rows = self._write_new(rows, received, stream, batch_id) if received else 0
         finally:
             hashed.unpersist()
-        metrics = BatchMetrics(batch_id, received, new_rows, rejected)
-        log.info("%s, %s duplicates", metrics, metrics.duplicates)
-        if self.metrics_path:
-            self._record(spark, stream, metrics)
-        return metrics
+        return received, new_rows, rejected
+
+    def _write_once_read(
+        self, batch: DataFrame, stream: str, batch_id: int
+    ) -> tuple[int, int, int]:
+        """The same numbers; the rows are counted behind the shuffle.
+
+        Before it a task that runs again, after its executor was lost, would count again.
+        """
+        rows = with_row_hash(batch)
+        known, counted = F.lit(False), Observation()
+        if (stored := self._stored_by_others(batch.sparkSession, stream, batch_id)) is not None:
+            rows, known = mark_known_rows(rows, hashes_of(stored), "_known"), F.col("_known")
+        elif self.drop_batch_copies:
+            rows = rows.repartition(ROW_HASH)
+        counts = F.count(F.lit(1)).alias("received"), _rejected(batch).alias("rejected")
+        rows = rows.observe(counted, *counts).where(~known).drop("_known", REJECTED)
+        if self.drop_batch_copies:
+            rows = drop_copies(rows)
+        new_rows = self.table.write_batch(_enriched(rows), stream, batch_id)
+        return counted.get["received"], new_rows, counted.get["rejected"]
+
+    def _stored_by_others(
+        self, spark: SparkSession, stream: str, batch_id: int
+    ) -> DataFrame | None:
+        """The table without rows that this batch left in it, where that can be told."""
+        stored = self.table.snapshot(spark)
+        if stored is not None and self.table.is_files:
+            # A partition filter: folders of this batch are not read.
+            own = (F.col(STREAM_ID) == stream) & (F.col(BATCH_ID) == batch_id)
+            stored = stored.where(~own)
+        return stored
 
     def _write_new(self, hashed: DataFrame, received: int, stream: str, batch_id: int) -> int:
         rows, spark = hashed, hashed.sparkSession
         if self.index:
             known = self.index.candidates(hashed, received, stream, batch_id)
             rows = drop_known_rows(rows, known, received, self.broadcast_limit)
-        elif (stored := self.table.snapshot(spark)) is not None:
-            if self.table.is_files:  # a partition filter: folders of this batch are not read
-                own = (F.col(STREAM_ID) == stream) & (F.col(BATCH_ID) == batch_id)
-                stored = stored.where(~own)
+        elif (stored := self._stored_by_others(spark, stream, batch_id)) is not None:
             rows = drop_known_rows(rows, hashes_of(stored), received, self.broadcast_limit)
         if self.drop_batch_copies:
             rows = drop_copies(rows)
@@ -129,14 +175,27 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).parquet(path).select(*METRICS_SCHEMA.names)
 
 
-def prepare_orders(raw: DataFrame) -> DataFrame:
-    """Raw rows, batch or stream, to table rows stamped with one time per batch.
+def _rejected(batch: DataFrame) -> Column:
+    return F.count(REJECTED) if REJECTED in batch.columns else F.lit(0)
+
+
+def _enriched(rows: DataFrame) -> DataFrame:
+    return rows if set(COMPUTED_COLUMNS) <= set(rows.columns) else enrich_orders(rows)
+
+
+def stamp_orders(raw: DataFrame) -> DataFrame:
+    """Raw rows, batch or stream, to aligned rows stamped with one time per batch.
 
     A column of rejected records stays beside them.
     """
     stamped = raw.withColumn(PROCESSED_TIME, F.current_timestamp())
     kept = (REJECTED,) if REJECTED in raw.columns else ()
-    return stamped.transform(align_orders, keep=kept).transform(enrich_orders)
+    return stamped.transform(align_orders, keep=kept)
+
+
+def prepare_orders(raw: DataFrame) -> DataFrame:
+    """As ``stamp_orders``, enriched to table rows."""
+    return stamp_orders(raw).transform(enrich_orders)
 
 
 def start_ingest(
@@ -157,7 +216,8 @@ def start_ingest(
 
     Every batch is checked against the whole history, so a backlog in batches of a fixed size
     costs the square of its size. With ``drain`` and ``backlog_batches`` batches grow with the
-    inbox instead, so that about so many use it up, or fewer of the size given.
+    inbox instead, so that about so many use it up, or fewer of the size given. If they may
+    have more rows than are broadcast, they are taken in one pass each.
     """
     ensure_folder(spark, inbox)
     if drain and backlog_batches:
@@ -166,12 +226,15 @@ def start_ingest(
             files_per_trigger = max(files_per_trigger, ceil(files / backlog_batches))
         if bytes_per_trigger is not None:
             bytes_per_trigger = max(bytes_per_trigger, ceil(size / backlog_batches))
+        if size > backlog_batches * ingest.broadcast_limit * ROW_BYTES:
+            ingest = replace(ingest, one_pass=True)
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     rows = stream_orders_csv(
         spark, inbox, files_per_trigger, bytes_per_trigger, rejected=True, **csv_options
     )
+    prepare = stamp_orders if ingest.reads_once else prepare_orders
     return (
-        prepare_orders(rows)
+        prepare(rows)
         .writeStream.foreachBatch(ingest.handle)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/streaming")
         .trigger(**trigger)
