@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from tillroll.llm import repeats, substring_dedup, suffix_dedup
@@ -84,6 +85,30 @@ def test_word_repeats_of_awkward_rows(docs, hot_documents):
     assert digests(found) == Counter(brute.word_repeats(ROWS))
 
 
+@pytest.mark.parametrize("remove_repeats", [suffix_dedup.remove_repeats, substring_dedup.remove_repeats])
+def test_repeated_text_is_stored_once_per_document(spark, monkeypatch, remove_repeats):
+    importable(spark)
+    text = " ".join(f"{i * 7919 % 1000003:x}" for i in range(2000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    stored = []
+
+    def recorded(df, purpose, *args, **options):
+        frame, path = repeats_saved_at(df, purpose, *args, **options)
+        stored.extend(
+            frame.agg(F.sum(F.octet_length(name))).first()[0]
+            for name, kind in frame.dtypes
+            if kind == "binary"
+        )
+        return frame, path
+
+    repeats_saved_at = repeats.saved_at
+    monkeypatch.setattr(repeats, "saved_at", recorded)
+    gone = {r["doc_id"]: r["kept"] for r in remove_repeats(docs).collect()}
+    assert gone == {0: text.encode(), 1: b"", 2: b""}
+    tokens = 2000 * 8 if remove_repeats is substring_dedup.remove_repeats else len(text)
+    assert sum(stored) <= 3 * tokens
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_maximal_repeats_have_all_occurrences(seed):
     rng = np.random.default_rng(seed)

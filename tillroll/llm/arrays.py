@@ -86,6 +86,13 @@ class Spans:
         value = (self.total[ends] - self.total[starts]) * self.down[starts]
         return mix(value ^ ((ends - starts).astype(np.uint64) << np.uint64(32)))
 
+    def every(self, n: int) -> np.ndarray:
+        """The hash of each span of ``n`` bytes, by where it begins."""
+        value = self.total[n:] - self.total[:-n]
+        value *= self.down[: len(value)]
+        value ^= np.uint64(n << 32)
+        return mix(value)
+
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of data[start:end] for each span."""

@@ -10,6 +10,10 @@ every window of a fragment which is the smallest document with that window, and
 answers are joined back to where the fragments occur. All is exact but for collisions of
 64-bit hashes: a solver compares tokens, never anchors.
 
+Neighbouring fragments overlap in all but a few tokens. What is stored of a document is
+therefore the text its fragments cover, each token once, and where each fragment is in it;
+fragments are cut from that to be dealt, and again to join the answers.
+
 An anchor in more than HOT_DOCUMENTS documents would make too large a shard. Its windows
 become fragments of their own, dealt by the hash of the window.
 """
@@ -19,12 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import (
+    BASE,
     Chunk,
     Spans,
+    mix,
     ngram_hashes,
     ragged,
     span_hashes,
@@ -36,6 +43,10 @@ from tillroll.llm.common import discard, saved_at, text_or_empty
 HOT_DOCUMENTS = 20_000
 #: Tokens that a solver gets at once; an anchor with more comes alone.
 SHARD_TOKENS = 1 << 19
+#: Texts are hashed so many bytes at a time that the arrays stay in a core's cache.
+HASHED_BYTES = 1 << 17
+#: Stored text whose fragments are cut, and equal ones combined, at once.
+CUT_BYTES = 4 << 20
 #: Stands for "no document"; a row without a doc_id counts as the largest document.
 NOBODY = np.iinfo(np.int64).max
 
@@ -69,8 +80,7 @@ def _gram_hashes(values: np.ndarray, n: int) -> np.ndarray:
     if len(values) < n:
         return np.zeros(0, dtype=np.uint64)
     if values.dtype == np.uint8:
-        at = np.arange(len(values) - n + 1)
-        return Spans(values).hashes(at, at + n)
+        return Spans(values).every(n)
     return ngram_hashes(values, n)
 
 
@@ -100,16 +110,18 @@ def fragments(found: Tokens, unit: Unit) -> Fragments:
     hashes = _gram_hashes(found.values, unit.gram)
     keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
     least = _lowest(keys, unit.window - unit.gram + 1)
-    n_windows = np.maximum(found.stop - found.first - unit.window + 1, 0)
-    at = ragged(found.first, n_windows)
-    row = np.repeat(np.arange(len(n_windows)), n_windows)
-    place = (least[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    fresh = np.ones(len(at), dtype=bool)
-    fresh[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
+    last = found.stop - unit.window
+    fresh = np.ones(len(least), dtype=bool)
+    fresh[1:] = least[1:] != least[:-1]
+    fresh[found.first[last >= found.first]] = True
     begins = np.flatnonzero(fresh)
-    return Fragments(
-        row[begins], at[begins], np.diff(np.append(begins, len(at))), hashes[place[begins]]
-    )
+    row = np.searchsorted(found.first, begins, side="right") - 1
+    # Windows that run into the next text are in no fragment.
+    stops = np.minimum(np.append(begins[1:], len(least)), last[row] + 1)
+    inside = begins < stops
+    begins, row, stops = begins[inside], row[inside], stops[inside]
+    place = (least[begins] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return Fragments(row, begins, stops - begins, hashes[place])
 
 
 def _anchors(unit: Unit):
@@ -117,7 +129,7 @@ def _anchors(unit: Unit):
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in text_chunks(batch, "text"):
+            for chunk in text_chunks(batch, "text", HASHED_BYTES):
                 own = fragments(tokens(chunk, unit), unit)
                 order = np.lexsort((own.anchor, own.row))
                 row, anchor = own.row[order], own.anchor[order]
@@ -136,54 +148,162 @@ def _anchors(unit: Unit):
     return find
 
 
-def _occurrences(unit: Unit):
-    """Function for mapInArrow: texts and their shared anchors to fragments."""
+def _list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values, kind))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _binary_array(body: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Pieces of ``sizes`` elements that follow one another in ``body``."""
+    ends = np.append(0, np.cumsum(sizes)) * body.itemsize
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(body.tobytes())]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), buffers).cast(pa.binary())
+
+
+def _located(unit: Unit):
+    """Function for mapInArrow: texts and their shared anchors to what their fragments cover.
+
+    ``body`` holds the tokens in fragments, each once; ``gaps`` from one fragment's first token
+    to the next one's (of the first: from the text's), ``sizes`` in tokens, ``keys``.
+    """
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("shared")
-            offsets = lists.offsets.to_numpy()
-            shared = lists.values.field("h").to_numpy().view(np.uint64)
-            is_hot = lists.values.field("hot").to_numpy(zero_copy_only=False)
-            for chunk in text_chunks(batch, "text"):
+            # Which anchors are shared, or hot, is the same for all texts.
+            shared, hot = (
+                (lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64))
+                for lists in (batch.column("shared"), batch.column("hot"))
+            )
+            for chunk in text_chunks(batch, "text", HASHED_BYTES):
+                stop = chunk.first + len(chunk.starts)
+                some, many = (
+                    values[offsets[chunk.first] : offsets[stop]] for offsets, values in (shared, hot)
+                )
                 found = tokens(chunk, unit)
                 own = fragments(found, unit)
-                keep, hot = np.zeros(len(own.row), bool), np.zeros(len(own.row), bool)
-                cuts = np.searchsorted(own.row, np.arange(len(chunk.starts) + 1))
-                for r in range(len(chunk.starts)):
-                    a, b = offsets[chunk.first + r], offsets[chunk.first + r + 1]
-                    span = slice(cuts[r], cuts[r + 1])
-                    keep[span] = np.isin(own.anchor[span], shared[a:b])
-                    hot[span] = np.isin(own.anchor[span], shared[a:b][is_hot[a:b]])
-                usual, split = keep & ~hot, keep & hot
-                alone = ragged(own.start[split], own.windows[split])
-                row = np.concatenate([own.row[usual], np.repeat(own.row[split], own.windows[split])])
-                start = np.concatenate([own.start[usual], alone])
-                size = np.concatenate([own.windows[usual], np.ones(len(alone), np.int64)])
-                key = own.anchor[usual]
-                if len(alone):
-                    key = np.concatenate([key, _gram_hashes(found.values, unit.window)[alone]])
-                size += unit.window - 1
-                body = found.values[ragged(start, size)].tobytes()
-                ends = np.cumsum(size) * found.values.itemsize
-                pieces = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(),
-                    len(size),
-                    [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(body)],
-                ).cast(pa.binary())
-                at = pa.array(row + chunk.first)
+                split = np.isin(own.anchor, many) if len(many) else np.zeros(len(own.row), bool)
+                usual = np.isin(own.anchor, some) & ~split
+                row, start, size, key = (
+                    x[usual] for x in (own.row, own.start, own.windows, own.anchor)
+                )
+                if split.any():
+                    alone = ragged(own.start[split], own.windows[split])
+                    row = np.append(row, np.repeat(own.row[split], own.windows[split]))
+                    start = np.append(start, alone)
+                    size = np.append(size, np.ones(len(alone), np.int64))
+                    key = np.append(key, _gram_hashes(found.values, unit.window)[alone])
+                    order = np.argsort(start)
+                    row, start, size, key = row[order], start[order], size[order], key[order]
+                size = size + unit.window - 1
+                first = np.ones(len(row), dtype=bool)
+                first[1:] = row[1:] != row[:-1]
+                gap = start - np.where(first, found.first[row], np.append(0, start[:-1]))
+                added = _added(gap, size, first)
+                counts = np.bincount(row, minlength=len(chunk.starts))
+                body_sizes = np.bincount(row, added, len(chunk.starts)).astype(np.int64)
+                span = slice(chunk.first, stop)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc")[span],
+                        batch.column("rid")[span],
+                        _binary_array(found.values[ragged(start + size - added, added)], body_sizes),
+                        _list_array(gap, counts, pa.int32()),
+                        _list_array(size, counts, pa.int32()),
+                        _list_array(key.view(np.int64), counts, pa.int64()),
+                    ],
+                    names=["doc", "rid", "body", "gaps", "sizes", "keys"],
+                )
+
+    return locate
+
+
+def _added(gap: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many tokens of each fragment no earlier one of its text covers: its last ones."""
+    beyond = gap + size - np.append(0, size[:-1])
+    return np.where(first, size, np.minimum(size, beyond))
+
+
+@dataclass
+class Cut:
+    """Fragments of some stored texts: tokens, where each begins and how long it is in them,
+    its key and hash, its place in the text, and its row in the batch."""
+
+    values: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+    key: np.ndarray
+    fid: np.ndarray
+    start: np.ndarray
+    row: np.ndarray
+
+
+def _cuts(batch: pa.RecordBatch, unit: Unit) -> Iterator[Cut]:
+    lists = [batch.column(c) for c in ("gaps", "sizes", "keys")]
+    offsets = lists[0].offsets.to_numpy()
+    gaps, sizes, keys = (x.values.to_numpy() for x in lists)
+    for chunk in text_chunks(batch, "body", CUT_BYTES):
+        cuts = offsets[chunk.first : chunk.first + len(chunk.starts) + 1]
+        span, counts = slice(cuts[0], cuts[-1]), np.diff(cuts)
+        values = chunk.data.view(np.uint64 if unit.by_word else np.uint8)
+        gap, size = gaps[span].astype(np.int64), sizes[span].astype(np.int64)
+        first = np.zeros(len(gap), dtype=bool)
+        begins = (cuts[:-1] - cuts[0])[counts > 0]
+        first[begins] = True
+        at = np.cumsum(_added(gap, size, first)) - size
+        total = np.cumsum(gap)
+        start = total - np.repeat((total - gap)[begins], counts[counts > 0])
+        row = np.repeat(np.arange(len(counts)) + chunk.first, counts)
+        fid = span_hashes(values, at, at + size).view(np.int64)
+        yield Cut(values, at, size, keys[span], fid, start, row)
+
+
+def _pieces(unit: Unit):
+    """Function for mapInArrow: stored texts to their fragments, equal ones of a chunk combined."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs = batch.column("doc").to_numpy()
+            for own in _cuts(batch, unit):
+                if not len(own.key):
+                    continue
+                same = mix(own.key.view(np.uint64) * BASE ^ own.fid.view(np.uint64))
+                order = np.argsort(same)
+                same, doc = same[order], docs[own.row[order]]
+                begins = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
+                pick = order[begins]
+                size = own.size[pick]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(own.key[pick]),
+                        _binary_array(own.values[ragged(own.at[pick], size)], size),
+                        pa.array(np.minimum.reduceat(doc, begins)),
+                        pa.array(np.maximum.reduceat(doc, begins)),
+                    ],
+                    names=["key", "piece", "low", "high"],
+                )
+
+    return cut
+
+
+def _places(unit: Unit):
+    """Function for mapInArrow: stored texts to where each fragment is, without its tokens."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in _cuts(batch, unit):
+                at = pa.array(own.row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc").take(at),
                         batch.column("rid").take(at),
-                        pa.array(start - found.first[row]),
-                        pa.array(key.view(np.int64)),
-                        pieces,
+                        pa.array(own.start),
+                        pa.array(own.key),
+                        pa.array(own.fid),
                     ],
-                    names=["doc", "rid", "start", "key", "piece"],
+                    names=["doc", "rid", "start", "key", "fid"],
                 )
 
-    return cut
+    return place
 
 
 #: Gets the tokens of all pieces, where each begins and ends, and its smallest document. Gives
@@ -197,12 +317,13 @@ def _solve(solver: Solver, unit: Unit):
     kind = np.uint64 if unit.by_word else np.uint8
 
     def runs(rows: list[tuple]) -> pa.RecordBatch:
-        keys, ids, pieces, lows, highs = zip(*rows, strict=True)
+        keys, pieces, lows, highs = zip(*rows, strict=True)
         lows, highs = np.array(lows), np.array(highs)
         sizes = np.array([len(p) for p in pieces]) // np.dtype(kind).itemsize
         ends = np.cumsum(sizes)
         starts = ends - sizes
         values = np.frombuffer(b"".join(pieces), dtype=kind)
+        ids = span_hashes(values, starts, ends).view(np.int64)
         lowest = solver(values, starts, ends, lows)
         n_windows = sizes - unit.window + 1
         at, piece = ragged(starts, n_windows), np.repeat(np.arange(len(sizes)), n_windows)
@@ -219,7 +340,7 @@ def _solve(solver: Solver, unit: Unit):
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.array(keys)[own], pa.int64()),
-                pa.array(np.array(ids)[own], pa.int64()),
+                pa.array(ids[own]),
                 pa.array(offset),
                 pa.array(offset + lengths - 1 + unit.window),
                 pa.array(low[begins]),
@@ -230,13 +351,13 @@ def _solve(solver: Solver, unit: Unit):
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, n = [], 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "fid", "piece", "low", "high")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "piece", "low", "high")]
             for row in zip(*columns, strict=True):
                 if n >= SHARD_TOKENS and row[0] != rows[-1][0]:
                     yield runs(rows)
                     rows, n = [], 0
                 rows.append(row)
-                n += len(row[2]) // np.dtype(kind).itemsize
+                n += len(row[1]) // np.dtype(kind).itemsize
         if rows:
             yield runs(rows)
 
@@ -248,39 +369,48 @@ def _kept(unit: Unit):
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            total, removed, runs, left = [], [], [], []
+            lists = batch.column("spans")
+            rows = pc.list_parent_indices(lists).to_numpy()
+            starts, stops = (
+                pc.list_flatten(lists).field(c).to_numpy() for c in ("start", "stop")
+            )
             for chunk in text_chunks(batch, "text"):
-                found = words(chunk) if unit.by_word else None
-                for r in range(len(chunk.starts)):
-                    a, b = chunk.starts[r], chunk.ends[r]
-                    first = found.first[r] if unit.by_word else a
-                    n = int((found.stop[r] if unit.by_word else b) - first)
-                    steps = np.zeros(n + 1, dtype=np.int64)
-                    own = spans[chunk.first + r]
-                    if own:
-                        np.add.at(steps, [s["start"] for s in own], 1)
-                        np.add.at(steps, [s["stop"] for s in own], -1)
-                    gone = np.cumsum(steps)[:n] > 0
-                    total.append(n)
-                    removed.append(int(gone.sum()))
-                    runs.append(int((gone & ~np.append(False, gone[:-1])).sum()) if n else 0)
-                    if unit.by_word:
-                        pick = first + np.flatnonzero(~gone)
+                if unit.by_word:
+                    found = words(chunk)
+                    first, stop, n = found.first, found.stop, len(found.starts)
+                else:
+                    first, stop, n = chunk.starts, chunk.ends, len(chunk.data)
+                a, b = np.searchsorted(rows, [chunk.first, chunk.first + len(first)])
+                base = first[rows[a:b] - chunk.first]
+                steps = np.bincount(base + starts[a:b], minlength=n + 1)
+                steps -= np.bincount(base + stops[a:b], minlength=n + 1)
+                gone = np.cumsum(steps)[:n] > 0
+                fresh = gone.copy()
+                fresh[1:] &= ~gone[:-1]
+                begins = first[first < stop]
+                fresh[begins] = gone[begins]
+                removed, runs = (
+                    np.diff(np.append(0, np.cumsum(x))[np.append(first, n)]) for x in (gone, fresh)
+                )
+                if unit.by_word:
+                    left = []
+                    for x, y in zip(first, stop, strict=True):
+                        pick = x + np.flatnonzero(~gone[x:y])
                         pairs = zip(found.starts[pick], found.ends[pick], strict=True)
                         left.append(b" ".join(chunk.data[x:y].tobytes() for x, y in pairs))
-                    else:
-                        left.append(chunk.data[a:b][~gone].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(total, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(runs, pa.int64()),
-                    pa.array(left, pa.binary()),
-                ],
-                names=["doc_id", "n_tokens", "n_removed", "n_spans", "kept"],
-            )
+                    left = pa.array(left, pa.binary())
+                else:
+                    left = _binary_array(chunk.data[~gone], stop - first - removed)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id")[chunk.first : chunk.first + len(first)],
+                        pa.array(stop - first, pa.int64()),
+                        pa.array(removed, pa.int64()),
+                        pa.array(runs, pa.int64()),
+                        left,
+                    ],
+                    names=["doc_id", "n_tokens", "n_removed", "n_spans", "kept"],
+                )
 
     return rest
 
@@ -293,21 +423,10 @@ def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     )
 
 
-def repeated_spans(
-    docs: DataFrame,
-    unit: Unit,
-    solver: Solver,
-    id_column: str = "doc_id",
-    text: str = "text",
-    hot_documents: int = HOT_DOCUMENTS,
-) -> DataFrame:
-    """doc, rid, start, stop, low: spans whose windows all start in document ``low`` too.
-
-    ``low`` is smaller than ``doc``; spans may overlap. doc and rid are as in ``_keyed``.
-    """
-    rows = _keyed(docs, id_column, text).select("doc", "rid", "text")
+def _shared_anchors(rows: DataFrame, unit: Unit, hot_documents: int) -> tuple[DataFrame, str]:
+    """rid, shared, hot: each row's anchors that are in other documents too, or in very many."""
     anchors = rows.mapInArrow(_anchors(unit), "h long, doc long, rid long")
-    shared, shared_path = saved_at(
+    shared, path = saved_at(
         anchors.groupBy("h")
         .agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("n"))
         .filter("low < high")
@@ -315,35 +434,59 @@ def repeated_spans(
         "anchors",
         drop_shuffles=True,
     )
-    wanted = (
+    wanted = saved_at(
         anchors.select("h", "rid")
         .join(shared, "h")
         .groupBy("rid")
-        .agg(F.collect_list(F.struct("h", "hot")).alias("shared"))
+        .agg(
+            F.collect_list("h").alias("shared"),
+            F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"),
+        ),
+        "wanted",
+        drop_shuffles=True,
+        hash_joins=True,
     )
-    places, _ = saved_at(
-        rows.join(wanted, "rid")
-        .mapInArrow(
-            _occurrences(unit), "doc long, rid long, start long, key long, piece binary"
-        )
-        .withColumn("fid", F.xxhash64("piece")),
+    discard(rows.sparkSession, path)
+    return wanted
+
+
+def _spans(
+    docs: DataFrame,
+    unit: Unit,
+    solver: Solver,
+    id_column: str,
+    text: str,
+    hot_documents: int = HOT_DOCUMENTS,
+) -> tuple[DataFrame, list[str]]:
+    """As ``repeated_spans``, with the folders that it reads."""
+    spark = docs.sparkSession
+    rows = _keyed(docs, id_column, text).select("doc", "rid", "text")
+    wanted, wanted_path = _shared_anchors(rows, unit, hot_documents)
+    stored, stored_path = saved_at(
+        rows.join(wanted, "rid").mapInArrow(
+            _located(unit),
+            "doc long, rid long, body binary, gaps array<int>, sizes array<int>, keys array<long>",
+        ),
         "fragments",
         drop_shuffles=True,
+        hash_joins=True,
     )
-    discard(rows.sparkSession, shared_path)
-    runs, _ = saved_at(
-        places.groupBy("key", "fid", "piece")
-        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    discard(spark, wanted_path)
+    runs, runs_path = saved_at(
+        stored.select("doc", "body", "gaps", "sizes", "keys")
+        .mapInArrow(_pieces(unit), "key long, piece binary, low long, high long")
         .repartition("key")
-        .sortWithinPartitions("key", "fid")
+        .groupBy("key", "piece")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .sortWithinPartitions("key")
         .mapInArrow(
             _solve(solver, unit), "key long, fid long, from long, to long, low long"
         ),
         "runs",
         drop_shuffles=True,
     )
-    return (
-        places.select("doc", "rid", "start", "key", "fid")
+    spans = (
+        stored.mapInArrow(_places(unit), "doc long, rid long, start long, key long, fid long")
         .join(runs, ["key", "fid"])
         .filter("low < doc")
         .select(
@@ -354,6 +497,22 @@ def repeated_spans(
             "low",
         )
     )
+    return spans, [stored_path, runs_path]
+
+
+def repeated_spans(
+    docs: DataFrame,
+    unit: Unit,
+    solver: Solver,
+    id_column: str = "doc_id",
+    text: str = "text",
+    **options,
+) -> DataFrame:
+    """doc, rid, start, stop, low: spans whose windows all start in document ``low`` too.
+
+    ``low`` is smaller than ``doc``; spans may overlap. doc and rid are as in ``_keyed``.
+    """
+    return _spans(docs, unit, solver, id_column, text, **options)[0]
 
 
 def without_repeats(
@@ -365,11 +524,19 @@ def without_repeats(
     **options,
 ) -> DataFrame:
     """doc_id, n_tokens, n_removed, n_spans, kept (binary); one row for each row."""
-    spans = (
-        repeated_spans(docs, unit, solver, id_column, text, **options)
-        .groupBy("doc", "rid")
-        .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans, paths = _spans(docs, unit, solver, id_column, text, **options)
+    spans, _ = saved_at(
+        spans.groupBy("doc", "rid").agg(
+            F.collect_list(
+                F.struct(*(F.col(c).cast("int").alias(c) for c in ("start", "stop")))
+            ).alias("spans")
+        ),
+        "spans",
+        drop_shuffles=True,
+        hash_joins=True,
     )
+    for path in paths:
+        discard(docs.sparkSession, path)
     return (
         _keyed(docs, id_column, text)
         .join(spans, ["doc", "rid"], "left")
