@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,33 @@ def test_repeated_text_is_stored_once_per_document(spark, monkeypatch, remove_re
     assert sum(stored) <= 3 * tokens
 
 
+@pytest.mark.parametrize("limit", [1, 100, 250, 10_000])
+@pytest.mark.parametrize("batch_rows", [1, 3, 50])
+def test_shards_end_between_keys(monkeypatch, limit, batch_rows):
+    rng, keys = np.random.default_rng(limit), np.sort(np.random.default_rng(1).integers(0, 20, 50))
+    rows = [(int(k), bytes(rng.integers(97, 99, rng.integers(50, 90)).tolist()), 1, 2) for k in keys]
+    shards = []
+
+    def solver(values, starts, ends, lows):
+        shards.append([values[a:b].tobytes() for a, b in zip(starts, ends, strict=True)])
+        return np.full(len(values), 0)
+
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    table = pa.table([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["key", "piece", "low", "high"])
+    monkeypatch.setattr(repeats, "SHARD_TOKENS", limit)
+    unit = repeats.Unit(by_word=False, window=50, gram=20)
+    found = list(repeats._solve(solver, unit)(iter(table.to_batches(max_chunksize=batch_rows))))
+    assert [p for shard in shards for p in shard] == [r[1] for r in rows]
+    assert [k for batch in found for k in batch.column("key").to_pylist()] == keys.tolist()
+    expected, n = [[]], 0
+    for i, row in enumerate(rows):
+        if i and n >= limit and row[0] != rows[i - 1][0]:
+            expected, n = [*expected, []], 0
+        expected[-1].append(row[1])
+        n += len(row[1])
+    assert shards == expected
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_maximal_repeats_have_all_occurrences(seed):
     rng = np.random.default_rng(seed)

@@ -42,7 +42,7 @@ from tillroll.llm.common import discard, saved_at, text_or_empty
 
 HOT_DOCUMENTS = 20_000
 #: Tokens that a solver gets at once; an anchor with more comes alone.
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 16
 #: Texts are hashed so many bytes at a time that the arrays stay in a core's cache.
 HASHED_BYTES = 1 << 17
 #: Stored text whose fragments are cut, and equal ones combined, at once.
@@ -306,6 +306,13 @@ def _places(unit: Unit):
     return place
 
 
+def _body(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each piece begins and the last one ends, and the bytes these places are in."""
+    offsets = np.frombuffer(pieces.buffers()[1], dtype=np.int32)
+    data = np.frombuffer(pieces.buffers()[2] or b"", dtype=np.uint8)
+    return offsets[pieces.offset : pieces.offset + len(pieces) + 1].astype(np.int64), data
+
+
 #: Gets the tokens of all pieces, where each begins and ends, and its smallest document. Gives
 #: for every token the smallest document of the pieces with the window that begins there, or
 #: NOBODY if only one has it; what it gives for a piece's last window - 1 tokens is unused.
@@ -316,13 +323,14 @@ def _solve(solver: Solver, unit: Unit):
     """Function for mapInArrow: pieces sorted by key to runs of windows with one ``low``."""
     kind = np.uint64 if unit.by_word else np.uint8
 
-    def runs(rows: list[tuple]) -> pa.RecordBatch:
-        keys, pieces, lows, highs = zip(*rows, strict=True)
-        lows, highs = np.array(lows), np.array(highs)
-        sizes = np.array([len(p) for p in pieces]) // np.dtype(kind).itemsize
-        ends = np.cumsum(sizes)
+    def runs(shard: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(shard).combine_chunks().to_batches()[0]
+        keys, lows, highs = (rows.column(c).to_numpy() for c in ("key", "low", "high"))
+        offsets, data = _body(rows.column("piece"))
+        ends = (offsets[1:] - offsets[0]) // np.dtype(kind).itemsize
+        sizes = np.diff(ends, prepend=0)
         starts = ends - sizes
-        values = np.frombuffer(b"".join(pieces), dtype=kind)
+        values = data[offsets[0] : offsets[-1]].view(kind)
         ids = span_hashes(values, starts, ends).view(np.int64)
         lowest = solver(values, starts, ends, lows)
         n_windows = sizes - unit.window + 1
@@ -339,7 +347,7 @@ def _solve(solver: Solver, unit: Unit):
         offset = at[begins] - starts[own]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.array(keys)[own], pa.int64()),
+                pa.array(keys[own]),
                 pa.array(ids[own]),
                 pa.array(offset),
                 pa.array(offset + lengths - 1 + unit.window),
@@ -349,17 +357,28 @@ def _solve(solver: Solver, unit: Unit):
         )
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, n = [], 0
+        shard, n, last = [], 0, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "piece", "low", "high")]
-            for row in zip(*columns, strict=True):
-                if n >= SHARD_TOKENS and row[0] != rows[-1][0]:
-                    yield runs(rows)
-                    rows, n = [], 0
-                rows.append(row)
-                n += len(row[1]) // np.dtype(kind).itemsize
-        if rows:
-            yield runs(rows)
+            if not len(batch):
+                continue
+            keys, total = batch.column("key").to_numpy(), _body(batch.column("piece"))[0]
+            total = (total - total[0]) // np.dtype(kind).itemsize
+            # A shard ends before the first row with a new key once it has enough tokens.
+            fresh = np.flatnonzero(np.append(keys[0] != last, keys[1:] != keys[:-1]))
+            start, last = 0, keys[-1]
+            while True:
+                i = np.searchsorted(total[fresh], total[start] + max(SHARD_TOKENS - n, 0))
+                cut = max(int(fresh[i]), start) if i < len(fresh) else len(keys)
+                if cut > start:
+                    shard.append(batch.slice(start, cut - start))
+                    n += int(total[cut] - total[start])
+                if i == len(fresh):
+                    break
+                if shard:
+                    yield runs(shard)
+                shard, n, start = [], 0, cut
+        if shard:
+            yield runs(shard)
 
     return solve
 

@@ -44,11 +44,14 @@ def sorted_suffixes(
     """
     left = np.repeat(ends, ends - starts) - np.arange(len(values))
     at = np.flatnonzero(left >= least)
-    at = at[np.argsort(left[at], kind="stable")]
     width = int((ends - starts).max())
+    lengths = left[at].astype(np.uint16) if width < 1 << 16 else left[at]
+    at = at[np.argsort(lengths, kind="stable")]
+    if values.itemsize > 1:
+        values = values.astype(np.uint32)
     padded = np.concatenate([values, np.zeros(width, values.dtype)])
     rows = np.lib.stride_tricks.sliding_window_view(padded, width)[at]
-    rows[np.arange(width) >= left[at][:, None]] = 0
+    rows *= np.arange(width) < left[at][:, None]
     if rows.itemsize > 1:
         rows = rows.astype(">u4")  # compared byte by byte
     order = np.argsort(rows.view(f"S{width * rows.itemsize}").ravel(), kind="stable")
@@ -78,12 +81,18 @@ def maximal_repeats(
         return
     # Only suffixes in some interval are scanned; lengths below ``least`` close them all.
     breaks = np.flatnonzero(np.diff(at) > 1) + 1
-    for run in np.split(at, breaks):
-        first = int(run[0]) - 1
-        chars = before[order[first : run[-1] + 1]].tolist()
-        lows = low[order[first : run[-1] + 1]].tolist()
+    firsts = at[np.append(0, breaks)] - 1
+    stops = at[np.append(breaks, len(at)) - 1] + 1
+    suffixes = order[ragged(firsts, stops - firsts)]
+    every_char, every_low = before[suffixes].tolist(), low[suffixes].tolist()
+    every_length = lcp[ragged(firsts, stops - firsts)].tolist()
+    done = 0
+    for first, stop in zip(firsts.tolist(), stops.tolist(), strict=True):
+        begin, done = done, done + stop - first
+        chars, lows = every_char[begin:done], every_low[begin:done]
+        lengths = every_length[begin + 1 : done]
         stack: list[list[int]] = []  # length, left bound, common byte before (-1: diverse), lowest
-        for i, length in enumerate([*lcp[run].tolist(), 0]):
+        for i, length in enumerate([*lengths, 0]):
             bound, char, lowest = first + i, chars[i], lows[i]
             while stack and stack[-1][0] > length:
                 size, bound, own, least_doc = stack.pop()
