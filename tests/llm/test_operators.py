@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from tillroll.llm import repeats, substring_dedup, suffix_dedup
+from tillroll.llm import ngram_scores, repeats, substring_dedup, suffix_dedup
 from tillroll.llm.block_naming import distinct_documents, exact_duplicates
 from tillroll.llm.common import importable
 from tillroll.llm.decontamination import contaminated, without_contaminated
@@ -137,6 +137,13 @@ def test_shards_end_between_keys(monkeypatch, limit, batch_rows):
     assert shards == expected
 
 
+def test_two_counts_share_a_long():
+    high, low = np.array([0, 1, 2**31 - 1, 7]), np.array([2**31 - 1, 0, 2**31 - 1, 3])
+    both = ngram_scores._paired(high, low)
+    assert both.dtype == np.int64
+    assert (both >> 32).tolist() == high.tolist() and (both & (2**32 - 1)).tolist() == low.tolist()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_maximal_repeats_have_all_occurrences(seed):
     rng = np.random.default_rng(seed)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.arrays import (
     BASE,
+    CHUNK_BYTES,
     LOWER,
     Chunk,
     mix,
@@ -42,7 +43,9 @@ ORDER = 3
 BACKOFF = 0.4
 #: What a word never seen counts.
 UNSEEN = 0.5
-EXPLODED = ("doc", "rid", "g", "own", "own_past", "own_end", "own_past_end")
+EXPLODED = ("rid", "g", "owns", "end_owns")
+#: Texts are exploded so many bytes at a time that the arrays stay in a core's cache.
+EXPLODED_BYTES = 1 << 18
 
 
 def _word_hashes(chunk: Chunk):
@@ -56,14 +59,15 @@ def _in_slice(grams: np.ndarray, part: int, slices: int) -> np.ndarray:
 
 
 def _grams(order: int, part: int, slices: int):
-    """Function for mapInArrow: texts to (g, history, ending, n), part of the counts.
+    """Function for mapInArrow: texts to (g, history, ending) of each n-gram in them.
 
-    An n-gram's history lacks its last word, its ending the first; 0 for a single word.
+    An n-gram's history lacks its last word, its ending the first. Single words have neither:
+    of them (g, n), part of the counts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in text_chunks(batch, "text"):
+            for chunk in text_chunks(batch, "text", CHUNK_BYTES if order == 1 else EXPLODED_BYTES):
                 tokens, first, stop = _word_hashes(chunk)
                 at = ragged(first, np.maximum(stop - first - order + 1, 0))
                 grams = ngram_hashes(tokens, order)[at]
@@ -71,29 +75,32 @@ def _grams(order: int, part: int, slices: int):
                 at, grams = at[chosen], grams[chosen]
                 if order > 1:  # few repeat in a chunk; the aggregate combines them
                     shorter = ngram_hashes(tokens, order - 1)
-                    history, ending = shorter[at], shorter[at + 1]
-                    n = np.ones(len(grams), dtype=np.int64)
+                    arrays = [x.view(np.int64) for x in (grams, shorter[at], shorter[at + 1])]
+                    names = ["g", "history", "ending"]
                 else:
                     grams, n = np.unique(grams, return_counts=True)
-                    history = ending = np.zeros(len(grams), dtype=np.uint64)
-                arrays = [pa.array(x.view(np.int64)) for x in (grams, history, ending)]
-                yield pa.RecordBatch.from_arrays(
-                    [*arrays, pa.array(n)], names=["g", "history", "ending", "n"]
-                )
+                    arrays, names = [grams.view(np.int64), n], ["g", "n"]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=names)
 
     return count
 
 
+def _paired(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Two counts in one long. A batch's texts have less than 2**31 bytes, so both fit."""
+    return high << 32 | low
+
+
 def _exploded(order: int, part: int, slices: int):
     """Function for mapInArrow: rows to their distinct n-grams of one order.
 
-    Beside each n-gram is how often the row has it, its history, its ending and the ending's
-    history. Of the empty n-gram a row has as many as words.
+    Beside each n-gram is how often the row has it and its history (``owns``), its ending and
+    the ending's history (``end_owns``), see ``_paired``. Of the empty n-gram a row has as many
+    as words.
     """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in text_chunks(batch, "text"):
+            for chunk in text_chunks(batch, "text", EXPLODED_BYTES):
                 tokens, first, stop = _word_hashes(chunk)
                 sizes = stop - first
                 row = np.repeat(np.arange(len(sizes)), sizes)
@@ -131,13 +138,12 @@ def _exploded(order: int, part: int, slices: int):
                 before = places - 1 if order > 1 else places
                 shorter = own(order - 1)
                 take = pa.array(row[places] + chunk.first)
-                counts = (n, shorter[before], shorter[places], own(order - 2)[before])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc").take(take),
                         batch.column("rid").take(take),
                         pa.array(grams.view(np.int64)),
-                        *(pa.array(x) for x in counts),
+                        pa.array(_paired(n, shorter[before])),
+                        pa.array(_paired(shorter[places], own(order - 2)[before])),
                     ],
                     names=list(EXPLODED),
                 )
@@ -158,16 +164,16 @@ class _Tables:
         self.total = 0
 
     def counts(self, order: int, part: int, slices: int) -> DataFrame:
-        return (
-            self.rows.mapInArrow(
-                _grams(order, part, slices), "g long, history long, ending long, n long"
-            )
-            .groupBy("g")
-            .agg(
-                F.first("history").alias("history"),
-                F.first("ending").alias("ending"),
-                F.sum("n").alias("n"),
-            )
+        names = ("g", "n") if order == 1 else ("g", "history", "ending")
+        grams = self.rows.mapInArrow(
+            _grams(order, part, slices), ", ".join(f"{c} long" for c in names)
+        ).groupBy("g")
+        if order == 1:
+            return grams.agg(F.sum("n").alias("n"))
+        return grams.agg(
+            F.first("history").alias("history"),
+            F.first("ending").alias("ending"),
+            F.count("*").alias("n"),
         )
 
     def single_words(self) -> tuple[DataFrame, str]:
@@ -202,7 +208,17 @@ class _Tables:
 def _summed(
     exploded: DataFrame, table: DataFrame, k: int, order: int, leave_out: bool, total: int
 ) -> DataFrame:
-    """doc, rid, score, n, n_words: what the n-grams of order ``k`` add to each row's score."""
+    """rid, score, n, n_words: what the n-grams of order ``k`` add to each row's score."""
+
+    low = F.lit((1 << 32) - 1)
+    exploded = exploded.select(
+        "rid",
+        "g",
+        F.shiftright("owns", 32).alias("own"),
+        F.col("owns").bitwiseAND(low).alias("own_past"),
+        F.shiftright("end_owns", 32).alias("own_end"),
+        F.col("end_owns").bitwiseAND(low).alias("own_past_end"),
+    )
 
     def others(counted: str, own: str, absent: Column | None = None) -> Column:
         count = F.col(counted) if absent is None else F.coalesce(counted, absent)
@@ -224,7 +240,7 @@ def _summed(
             .withColumn("gain", F.log(n / past) - F.log(n_end / past_end) - math.log(BACKOFF))
         )
         words_counted = n_words = F.lit(0).cast("long")
-    return met.groupBy("doc", "rid").agg(
+    return met.groupBy("rid").agg(
         F.sum(F.col("own") * F.col("gain")).alias("score"),
         words_counted.alias("n"),
         n_words.alias("n_words"),
@@ -253,10 +269,9 @@ def stupid_backoff(
     keyed = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text")
     )
-    keyed = keyed.withColumn("doc", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn(
-        "rid", F.xxhash64("doc", "text")
-    )
-    rows = keyed.select("doc", "rid", "text")
+    document = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    keyed = keyed.withColumn("rid", F.xxhash64(document, "text"))
+    rows = keyed.select("rid", "text")
     tables = _Tables(train, text, 2 if leave_out else 1)
     lower, path = tables.single_words()
     below, scores = [path], None
@@ -286,11 +301,11 @@ def stupid_backoff(
     for path in below:
         discard(spark, path)
     # Rows that repeat a doc_id and a text were summed together.
-    scores = scores.groupBy("doc", "rid").agg(
+    scores = scores.groupBy("rid").agg(
         (F.sum("score") * F.max("n_words") / F.sum("n")).alias("score"),
         F.max("n_words").alias("n_words"),
     )
-    return keyed.select("doc_id", "doc", "rid").join(scores, ["doc", "rid"], "left").select(
+    return keyed.select("doc_id", "rid").join(scores, "rid", "left").select(
         "doc_id",
         F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
         F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score"),
