@@ -1,0 +1,33 @@
+"""Texts that end in a word of one character, or have no letters, alone in a batch."""
+
+import pytest
+
+from tillroll.llm.common import importable
+from tillroll.llm.toxicity import toxicity, without_toxic
+
+TEXTS = ["some words | a", "7", "x", "", "123 456 .", "$", None, "ends as é"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    importable(spark)
+    rows = [(i, text) for i, text in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows), "doc_id")
+
+
+def labels(docs, toxic):
+    return docs.selectExpr("doc_id", "0 AS quality", f"{toxic} AS toxic")
+
+
+@pytest.mark.parametrize("toxic", [0, 1])
+def test_such_texts_are_learned_from_and_scored(docs, toxic):
+    each = docs.coalesce(1).unionAll(docs)
+    rows = toxicity(each, labels(docs, toxic)).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted([*range(len(TEXTS))] * 2)
+    scores = {(r["doc_id"], r["score"]) for r in rows}
+    assert len(scores) == len(TEXTS)  # the same with other texts in the batch as without
+
+
+def test_they_are_kept_unless_toxic(docs):
+    kept = without_toxic(docs, labels(docs, 0))
+    assert sorted(kept.collect(), key=str) == sorted(docs.collect(), key=str)
