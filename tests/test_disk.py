@@ -1,0 +1,55 @@
+"""What the queries leave on disk while they run: shuffles, inboxes, hashes."""
+
+import time
+
+import pytest
+
+from helpers import orders
+from tillroll.registry import adapter
+from tillroll.sources.orders_table import OrdersTable
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    names = blocks.diskBlockManager().getAllFiles().mkString(" ").split()
+    names = [name.rpartition("/")[2] for name in names]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def assert_no_more_shuffles(spark, before, counts=0):
+    """But for those of ``counts`` counts, a few bytes each."""
+    for _ in range(40):  # they go a moment later
+        left = shuffle_files(spark) - before
+        if len({name.split("_")[1] for name in left}) <= counts:
+            return
+        time.sleep(0.25)
+    raise AssertionError(sorted(left)[:5])
+
+
+@pytest.fixture
+def in_parts(monkeypatch):
+    monkeypatch.setattr(adapter, "ROWS_PER_PART", 1_000)
+
+
+def same_rows(left, right):
+    return not left.exceptAll(right).count() and not right.exceptAll(left).count()
+
+
+def test_a_write_leaves_no_shuffle(spark, tmp_path):
+    before = shuffle_files(spark)
+    table = OrdersTable(str(tmp_path / "orders"))
+    rows = orders(spark, {}, {"age": 1}).repartition(3, "age")
+    assert table.append(rows) == 2
+    assert_no_more_shuffles(spark, before)
+    assert table.write_batch(rows, "own", 0) == 2
+    assert_no_more_shuffles(spark, before, counts=1)
+
+
+def test_orders_are_stored_in_parts(spark, in_parts):
+    before = shuffle_files(spark)
+    stored, _ = adapter.stored_orders(spark, SMALL)
+    assert_no_more_shuffles(spark, before, counts=1)
+    assert adapter.number_of_parts(spark, SMALL) > 2
+    assert same_rows(stored, adapter.shop_orders(spark, SMALL))
