@@ -3,9 +3,11 @@
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import orders
-from tillroll.registry import adapter
+from tillroll.operators.dedup import drop_copies, packed, unpacked, with_row_hash
+from tillroll.registry import adapter, queries
 from tillroll.sources.orders_table import OrdersTable
 
 SMALL = "/root/testdata/sf0.001"
@@ -53,3 +55,29 @@ def test_orders_are_stored_in_parts(spark, in_parts):
     assert_no_more_shuffles(spark, before, counts=1)
     assert adapter.number_of_parts(spark, SMALL) > 2
     assert same_rows(stored, adapter.shop_orders(spark, SMALL))
+
+
+def test_a_batch_is_freed_of_copies_in_parts(spark, in_parts, monkeypatch):
+    found = queries.dedup_within_batch(spark, SMALL)
+    monkeypatch.setattr(adapter, "MOST_PARTS", 1)
+    assert same_rows(found, queries.dedup_within_batch(spark, SMALL))
+
+
+def test_packed_hashes_tell_the_same_rows_apart(spark):
+    digest = "0123456789abcdef" * 2
+    texts = [digest, digest.upper(), "stored", "", "x" * 32, "0123456789abcdef", "AB", "ab", "a", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "row_hash string")
+    short = packed(rows)
+    assert short.distinct().count() == len(texts)
+    assert {r[0] for r in unpacked(short).collect()} == set(texts)
+    assert short.agg(F.min(F.octet_length("row_hash"))).first()[0] == 16
+
+
+def test_a_hash_is_shuffled_once_and_short(spark):
+    rows = with_row_hash(orders(spark, {}, {}, {"age": 1}))
+    plan = drop_copies(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(row_hash" not in plan and ", row_hash, " not in plan
+    assert "unhex(" in plan
+    kept = drop_copies(rows)
+    assert kept.columns == rows.columns
+    assert same_rows(kept, rows.distinct())

@@ -23,6 +23,8 @@ from tillroll.schema import ROW_HASH
 
 #: Hashes that may be broadcast; about 100 bytes each once in a join's hash table.
 BROADCAST_LIMIT = 1_000_000
+#: Bytes put behind a hash that is no MD5, one more than an MD5 has.
+LONGER = 17
 
 
 def with_row_hash(df: DataFrame) -> DataFrame:
@@ -49,8 +51,35 @@ def drop_copies(df: DataFrame) -> DataFrame:
     The least row is an aggregate, so each task keeps one row of a hash before the shuffle,
     and a hash with a third of all rows costs no more there than any other.
     """
-    least = F.min(F.struct(*df.columns)).alias("row")
-    return df.groupBy(ROW_HASH).agg(least).select("row.*")
+    return unpacked(least_rows(packed(df)))
+
+
+def least_rows(df: DataFrame) -> DataFrame:
+    """As ``drop_copies``, for hashes that are packed or not."""
+    # The hash is the same in all rows that are compared, and is sent once, as the key.
+    least = F.min(F.struct(*(c for c in df.columns if c != ROW_HASH))).alias("row")
+    rows = df.groupBy(ROW_HASH).agg(least)
+    return rows.select(*(ROW_HASH if c == ROW_HASH else f"row.`{c}`" for c in df.columns))
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """The rows with ``row_hash`` as bytes for a shuffle; rows of one hash, and only they, agree.
+
+    An MD5 of 32 hex digits goes as its 16 bytes. Any other text keeps its bytes, with as many
+    behind them as make it longer than that.
+    """
+    digest = F.unhex(ROW_HASH)
+    plain = (F.length(ROW_HASH) == 32) & (F.lower(F.hex(digest)) == F.col(ROW_HASH))
+    other = F.concat(F.encode(ROW_HASH, "UTF-8"), F.unhex(F.lit("00" * LONGER)))
+    return df.withColumn(ROW_HASH, F.when(plain, digest).otherwise(other))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    """The rows with ``row_hash`` as it was before ``packed``."""
+    key = F.col(ROW_HASH)
+    text = F.decode(F.substring(key, F.lit(1), F.octet_length(key) - LONGER), "UTF-8")
+    digest = F.lower(F.hex(key))
+    return df.withColumn(ROW_HASH, F.when(F.octet_length(key) < LONGER, digest).otherwise(text))
 
 
 def drop_known_rows(
