@@ -9,6 +9,7 @@ from helpers import orders
 from tillroll.operators.dedup import drop_copies, packed, unpacked, with_row_hash
 from tillroll.registry import adapter, queries
 from tillroll.sources.orders_table import OrdersTable
+from tillroll.sources.paths import files_and_bytes
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -63,6 +64,26 @@ def test_a_batch_is_freed_of_copies_in_parts(spark, in_parts, monkeypatch):
     assert same_rows(found, queries.dedup_within_batch(spark, SMALL))
 
 
+def test_inbox_is_compressed_and_used_up(spark, monkeypatch):
+    seen = []
+    drain = queries._drain
+
+    def drained(spark, inbox, *more, **options):
+        seen.append((inbox, files_and_bytes(spark, inbox)))
+        drain(spark, inbox, *more, **options)
+
+    monkeypatch.setattr(queries, "_drain", drained)
+    monkeypatch.setattr(queries, "INBOX_ROWS_PER_FILE", 100)
+    monkeypatch.setattr(adapter, "ROWS_PER_PART", 1_000)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    totals = queries.ingest_metrics(spark, SMALL, deliveries=2).first()
+    assert (totals["received"], totals["new_rows"]) == (lines, 0)
+    (inbox, (files, size)), again = seen
+    assert again == (inbox, (files, size))  # whole for the second delivery
+    assert size < 60 * lines
+    assert files_and_bytes(spark, inbox)[0] < files
+
+
 def test_packed_hashes_tell_the_same_rows_apart(spark):
     digest = "0123456789abcdef" * 2
     texts = [digest, digest.upper(), "stored", "", "x" * 32, "0123456789abcdef", "AB", "ab", "a", None]

@@ -26,7 +26,10 @@ from tillroll.operators.dedup import (
     drop_copies,
     drop_known_rows,
     hashes_of,
+    least_rows,
     mark_known_rows,
+    packed,
+    unpacked,
     with_row_hash,
 )
 from tillroll.operators.enrich import enrich_orders
@@ -44,8 +47,8 @@ TRIGGER_INTERVAL = "15 seconds"
 #: Spark's own name for the id that a query keeps in its checkpoint.
 QUERY_ID = "sql.streaming.queryId"
 
-#: Bytes of an order in a file, to guess how many rows a batch will have.
-ROW_BYTES = 100
+#: Bytes of an order in a file, compressed or not, at least: how many rows a batch may have.
+ROW_BYTES = 20
 
 METRICS_SCHEMA = StructType(
     [StructField(STREAM_ID, StringType())]
@@ -122,17 +125,17 @@ class Ingest:
 
         Before it a task that runs again, after its executor was lost, would count again.
         """
-        rows = with_row_hash(batch)
+        rows = packed(with_row_hash(batch))
         known, counted = F.lit(False), Observation()
         if (stored := self._stored_by_others(batch.sparkSession, stream, batch_id)) is not None:
-            rows, known = mark_known_rows(rows, hashes_of(stored), "_known"), F.col("_known")
+            rows, known = mark_known_rows(rows, packed(hashes_of(stored)), "_known"), F.col("_known")
         elif self.drop_batch_copies:
             rows = rows.repartition(ROW_HASH)
         counts = F.count(F.lit(1)).alias("received"), _rejected(batch).alias("rejected")
         rows = rows.observe(counted, *counts).where(~known).drop("_known", REJECTED)
         if self.drop_batch_copies:
-            rows = drop_copies(rows)
-        new_rows = self.table.write_batch(_enriched(rows), stream, batch_id)
+            rows = least_rows(rows)
+        new_rows = self.table.write_batch(_enriched(unpacked(rows)), stream, batch_id)
         return counted.get["received"], new_rows, counted.get["rejected"]
 
     def _stored_by_others(
