@@ -1,0 +1,32 @@
+"""What a Python worker holds at once does not grow with the batch."""
+
+import pyarrow as pa
+import public_tokenizers
+
+from tillroll.llm import token_cache, toxicity
+
+
+def test_words_are_encoded_some_at_a_time():
+    encoder = token_cache._Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [f"word{i}" for i in range(12_345)]
+    whole = [len(x.ids) for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    sizes = []
+
+    class Spy:
+        def encode_batch_fast(self, some, **options):
+            sizes.append(len(some))
+            return tokenizer.encode_batch_fast(some, **options)
+
+    tokenizer, encoder.tokenizer = encoder.tokenizer, Spy()
+    assert encoder.count(texts) == whole
+    assert sum(sizes) == len(texts) and max(sizes) <= 5_000
+
+
+def test_terms_are_found_in_small_chunks():
+    texts = [f"some words of text {i} " * 500 for i in range(200)]  # about 2 MB
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(200), pa.int64()), pa.array(texts, pa.string())], names=["n", "text"]
+    )
+    parts = list(toxicity._sample_terms(None)(iter([batch])))
+    assert len(parts) > 4
+    assert {n for part in parts for n in part.column("n").to_pylist()} == set(range(200))

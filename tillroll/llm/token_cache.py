@@ -25,6 +25,10 @@ from tillroll.sources.paths import folder_exists, new_shared_folder
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 #: Words whose count a Python worker remembers; it starts afresh beyond.
 MEMORY_WORDS = 2_000_000
+#: Bytes of the chunks of texts here: a Python worker keeps the room that one took.
+CHUNK_BYTES = 256 << 10
+#: Words or texts handed to the tokenizer at once; what it returns for each takes about 1 KB.
+ENCODED_AT_ONCE = 5_000
 
 
 def tokenizer_digest(path: str) -> str:
@@ -48,8 +52,12 @@ class _Encoder:
         self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def count(self, texts: list[str]) -> list[int]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [len(x.ids) for x in encoded]
+        counts = []
+        for i in range(0, len(texts), ENCODED_AT_ONCE):
+            some = texts[i : i + ENCODED_AT_ONCE]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            counts += [len(x.ids) for x in encoded]
+        return counts
 
     def count_words(self, chunk: Chunk) -> np.ndarray:
         """Token count of each text of the chunk, as the sum over its words."""
@@ -85,7 +93,7 @@ def _encoder(path: str) -> _Encoder:
 def _totals(path: str, by_word: bool, texts: pa.RecordBatch) -> pa.Array:
     encoder = _encoder(path)
     totals = np.zeros(texts.num_rows, dtype=np.int64)
-    for chunk in text_chunks(texts, "text"):
+    for chunk in text_chunks(texts, "text", CHUNK_BYTES):
         if by_word:
             counts = encoder.count_words(chunk)
         else:
